@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fundlake import constants as C
 from fundlake import schemas as S
 from fundlake.functions import jalali, text
+from fundlake.functions.rows import exploded, inlined, keep_where
 from fundlake.operators.lookup import lookup_join
 from fundlake.sources.landing import captured
 from fundlake.sources.payload import decode_json_string, from_json, script_state
@@ -106,7 +107,7 @@ def allocation(responses: DataFrame) -> DataFrame:
     paired = ordered.select(
         *S.KEY, "fetched_at", "as_of", F.arrays_zip("ordered", following).alias("pairs")
     )
-    flat = paired.select(*S.KEY, "fetched_at", "as_of", F.explode("pairs").alias("p"))
+    flat = exploded(paired, [*S.KEY, "fetched_at", "as_of"], F.col("pairs"), "p")
     last = flat.filter(~F.col("p.ordered.item").eqNullSafe(F.col("p.following.item")))
     item = F.col("p.ordered.item")
     return last.select(
@@ -121,7 +122,7 @@ def allocation(responses: DataFrame) -> DataFrame:
 
 def unknown_items(responses: DataFrame) -> DataFrame:
     """Allocation items that no list of the vendor names."""
-    return allocation(responses).filter(~F.col("known")).select(*S.KEY, "item")
+    return keep_where(allocation(responses), ~F.col("known")).select(*S.KEY, "item")
 
 
 def allocation_map(responses: DataFrame) -> DataFrame:
@@ -172,8 +173,11 @@ def cash_ratio(responses: DataFrame) -> DataFrame:
 def industries(responses: DataFrame) -> DataFrame:
     """Industry weights: records passed through by one vendor, a sub-list of another's body."""
     body = F.col("body")
-    own = captured(responses, "industries", C.RAYAN_FAMILY).select(
-        *S.KEY, F.posexplode(from_json(body, "array<map<string, string>>")).alias("pos", "r")
+    own = exploded(
+        captured(responses, "industries", C.RAYAN_FAMILY),
+        S.KEY,
+        from_json(body, "array<map<string, string>>"),
+        "r",
     )
     listed = own.select(*S.KEY, "pos", F.map_values("r").alias("v")).select(
         *S.KEY,
@@ -181,18 +185,24 @@ def industries(responses: DataFrame) -> DataFrame:
         F.get("v", F.lit(0)).alias("industry"),
         F.get("v", F.lit(1)).try_cast("double").alias("percentage"),
     )
-    embedded = captured(responses, ENDPOINT, [C.MABNA]).select(
+    embedded = exploded(
+        captured(responses, ENDPOINT, [C.MABNA]),
+        S.KEY,
+        from_json(body, S.MABNA_ALLOCATION)["data"]["industries"],
+        "r",
+    ).select(
         *S.KEY,
-        F.posexplode(from_json(body, S.MABNA_ALLOCATION)["data"]["industries"]).alias("pos", "r"),
-    ).select(*S.KEY, "pos", F.col("r.title").alias("industry"), F.col("r.percentage").alias("percentage"))
+        "pos",
+        F.col("r.title").alias("industry"),
+        F.col("r.percentage").alias("percentage"),
+    )
     return listed.unionByName(embedded)
 
 
 def industry_records(responses: DataFrame, record: str) -> DataFrame:
     """Industry payload as a table with the record schema the caller declares."""
     rows = captured(responses, "industries", C.RAYAN_FAMILY)
-    parsed = rows.select(*S.KEY, from_json(F.col("body"), f"array<struct<{record}>>").alias("r"))
-    return parsed.select(*S.KEY, F.inline("r"))
+    return inlined(rows, S.KEY, from_json(F.col("body"), f"array<struct<{record}>>"))
 
 
 def _truthy(json_text: Column) -> Column:
@@ -288,8 +298,7 @@ def leverage(responses: DataFrame) -> DataFrame:
 def weight_violations(responses: DataFrame, tolerance: float = 1e-6) -> DataFrame:
     """Captures whose weights do not add up to one."""
     total = F.aggregate("entries", F.lit(0.0), lambda acc, e: acc + e["weight"])
-    return (
-        _parsed(responses)
-        .select(*S.KEY, "fetched_at", total.alias("total"))
-        .filter(F.col("total").isNull() | (F.abs(F.col("total") - 1) > tolerance))
+    totals = _parsed(responses).select(*S.KEY, "fetched_at", total.alias("total"))
+    return keep_where(
+        totals, F.col("total").isNull() | (F.abs(F.col("total") - 1) > tolerance)
     )

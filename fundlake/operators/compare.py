@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fundlake import constants as C
 from fundlake import schemas as S
+from fundlake.functions.rows import inlined
 from fundlake.operators.lookup import lookup_join, one_per_key, unmatched
 from fundlake.sources.payload import from_json, layout_model
 
@@ -18,8 +19,7 @@ EXCHANGE_SYMBOL = "instrument.lVal18AFC"
 def portal_list(responses: DataFrame) -> DataFrame:
     """Fund list of the asset portal: ``(asset_id, name)``."""
     rows = responses.filter(F.col("endpoint") == "etf_list")
-    listed = rows.select(F.explode(from_json(F.col("body"), S.ETF_LIST)["data"]).alias("e"))
-    return listed.select("e.*")
+    return inlined(rows, [], from_json(F.col("body"), S.ETF_LIST)["data"])
 
 
 def asset_specifications(responses: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def asset_funds(responses: DataFrame, fund: str) -> DataFrame:
     """Fund list nested in the asset pages, with the record schema the caller declares."""
     pages = asset_values(responses)
     funds = from_json(F.col("record"), f"funds array<struct<{fund}>>")["funds"]
-    return pages.select("url", funds.alias("funds")).select("url", F.inline("funds"))
+    return inlined(pages, ["url"], funds)
 
 
 def with_short_names(listed: DataFrame, specifications: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fundlake import constants as C
 from fundlake import schemas as S
 from fundlake.functions import jalali, text
+from fundlake.functions.rows import inlined
 from fundlake.operators.nav import in_range
 from fundlake.sources.landing import captured
 from fundlake.sources.payload import from_json, report_cells
@@ -57,7 +58,7 @@ def json_dividends(responses: DataFrame, strict: bool = False) -> DataFrame:
     wrapped = from_json(body, f"data {capitalised}", strict)["data"].cast(plain)
     records = F.when(vendor == C.RAYAN, wrapped).otherwise(from_json(body, plain, strict))
     rows = captured(responses, ENDPOINT, C.RAYAN_FAMILY)
-    flat = rows.select(*S.KEY, records.alias("records")).select(*S.KEY, F.inline("records"))
+    flat = inlined(rows, S.KEY, records)
     return flat.withColumn("date", jalali.to_date(F.col("profitDate"), strict))
 
 

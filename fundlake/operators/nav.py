@@ -7,6 +7,8 @@ aligns its series by date) run without a shuffle.
 from __future__ import annotations
 
 import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from fundlake import constants as C
 from fundlake import schemas as S
 from fundlake.functions import dates, jalali, text
+from fundlake.functions.rows import exploded, inlined, keep_where
 from fundlake.sources.landing import captured
 from fundlake.sources.payload import from_json, report_cells
 
@@ -26,11 +29,12 @@ def in_range(
     to_date: datetime.date | None = None,
 ) -> DataFrame:
     """Rows whose ``date`` lies between two optional bounds, both inclusive."""
+    date, conditions = F.col("date"), []
     if from_date is not None:
-        rows = rows.filter(F.col("date") >= F.lit(from_date))
+        conditions.append(date >= F.lit(from_date))
     if to_date is not None:
-        rows = rows.filter(F.col("date") <= F.lit(to_date))
-    return rows
+        conditions.append(date <= F.lit(to_date))
+    return keep_where(rows, reduce(and_, conditions)) if conditions else rows
 
 
 def _chart_series(body: Column) -> Column:
@@ -57,8 +61,7 @@ def tadbir_navps(responses: DataFrame, strict: bool = False) -> DataFrame:
     if strict:
         message = F.concat(F.lit("uneven chart series: "), F.col("url"))
         points = points.otherwise(F.raise_error(message))
-    flat = chart.select(*S.KEY, points.alias("points")).select(*S.KEY, F.inline("points"))
-    return flat.select(
+    return inlined(chart, S.KEY, points).select(
         *S.KEY,
         dates.us_date(F.col("x"), strict).alias("date"),
         "creation",
@@ -78,20 +81,20 @@ def uneven_charts(responses: DataFrame) -> DataFrame:
             for i, name in enumerate(["n_creation", "n_statistical", "n_redemption"])
         ],
     )
-    return sizes.filter(
+    return keep_where(
+        sizes,
         (F.col("n_creation") != F.col("n_statistical"))
         | (F.col("n_creation") != F.col("n_redemption"))
-        | (F.col("n_creation") < 0)
+        | (F.col("n_creation") < 0),
     )
 
 
 def leveraged_points(responses: DataFrame, strict: bool = False) -> DataFrame:
     """Points of a leveraged chart in long form: ``(fund, series, pos, date, value)``."""
     rows = captured(responses, CHART, [C.TADBIR_LEVERAGED])
-    series = rows.select(
-        *S.KEY, F.posexplode(_chart_series(F.col("body"))).alias("series", "s")
-    ).filter(F.col("series") < len(C.LEVERAGED_SERIES))
-    points = series.select(*S.KEY, "series", F.posexplode("s.List").alias("pos", "p"))
+    chart = F.slice(_chart_series(F.col("body")), 1, len(C.LEVERAGED_SERIES))
+    series = exploded(rows, S.KEY, chart, "s", "series")
+    points = exploded(series, [*S.KEY, "series"], F.col("s.List"), "p")
     return points.select(
         *S.KEY,
         "series",
@@ -108,7 +111,7 @@ def leveraged_navps(responses: DataFrame, strict: bool = False) -> DataFrame:
     grouping by fund and date: one shuffle, reduced on the map side, and a fund with a
     third of all points still spreads over its dates. Points without a date drop out.
     """
-    points = leveraged_points(responses, strict).filter(F.col("date").isNotNull())
+    points = keep_where(leveraged_points(responses, strict), F.col("date").isNotNull())
     columns = []
     for i, name in enumerate(C.LEVERAGED_SERIES):
         mine = F.col("series") == i
@@ -121,9 +124,8 @@ def leveraged_navps(responses: DataFrame, strict: bool = False) -> DataFrame:
 def rayan_navps(responses: DataFrame, strict: bool = False) -> DataFrame:
     """Records read by position: date, creation, redemption, statistical."""
     rows = captured(responses, CHART, C.RAYAN_FAMILY)
-    records = rows.select(
-        *S.KEY, F.explode(from_json(F.col("body"), S.RAYAN_POSITIONAL, strict)).alias("r")
-    ).select(*S.KEY, F.map_values("r").alias("v"))
+    parsed = from_json(F.col("body"), S.RAYAN_POSITIONAL, strict)
+    records = exploded(rows, S.KEY, parsed, "r").select(*S.KEY, F.map_values("r").alias("v"))
 
     def number(i):
         value = F.get("v", F.lit(i))
@@ -140,8 +142,7 @@ def rayan_navps(responses: DataFrame, strict: bool = False) -> DataFrame:
 
 def _mabna_chart(responses: DataFrame, endpoint: str, schema: str, strict: bool) -> DataFrame:
     rows = captured(responses, endpoint, [C.MABNA])
-    records = rows.select(*S.KEY, from_json(F.col("body"), schema, strict)["data"].alias("data"))
-    flat = records.select(*S.KEY, F.inline("data"))
+    flat = inlined(rows, S.KEY, from_json(F.col("body"), schema, strict)["data"])
     at = dates.instant(F.col("date_time"), strict)
     return flat.withColumn("date_time", at).withColumn("date", dates.tehran_date(F.col("date_time")))
 
@@ -207,7 +208,7 @@ def navps_history(responses: DataFrame) -> DataFrame:
         .when(vendor.isin(*C.RAYAN_FAMILY), positional)
         .when(vendor == C.MABNA, records)
     )
-    flat = listed.select(*S.KEY, points.alias("points")).select(*S.KEY, F.inline("points"))
+    flat = inlined(listed, S.KEY, points)
     day = F.col("day")
     date = (
         F.when(vendor == C.MABNA, dates.tehran_date(dates.instant(day, strict=False)))
@@ -252,9 +253,7 @@ def nav_report(
 def rayan_daily_nav(responses: DataFrame, strict: bool = False) -> DataFrame:
     """Arrays of ``[nav, Jalali date, creation price]`` -> ``(nav, date, creation_navps)``."""
     rows = captured(responses, "nav_history", C.RAYAN_FAMILY)
-    records = rows.select(
-        *S.KEY, F.explode(from_json(F.col("body"), S.RAYAN_DAILY, strict)).alias("r")
-    )
+    records = exploded(rows, S.KEY, from_json(F.col("body"), S.RAYAN_DAILY, strict), "r")
 
     def number(i):
         value = F.get("r", F.lit(i))
@@ -270,4 +269,4 @@ def rayan_daily_nav(responses: DataFrame, strict: bool = False) -> DataFrame:
 
 def price_violations(history: DataFrame) -> DataFrame:
     """Rows of a price history whose redemption price exceeds the creation price."""
-    return history.filter(F.col("redemption") > F.col("creation"))
+    return keep_where(history, F.col("redemption") > F.col("creation"))

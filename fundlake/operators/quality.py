@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fundlake import constants as C
 from fundlake.functions import text
+from fundlake.functions.rows import inlined
 from fundlake.operators.lookup import SALTS, lookup_join, one_per_key
 
 VIOLATION = ["rule", "key", "detail"]
@@ -24,7 +25,7 @@ def duplicate_values(rows: DataFrame, columns: list[str]) -> DataFrame:
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
     )
-    counted = rows.select(F.inline(pairs)).groupBy("column", "value").agg(
+    counted = inlined(rows, [], pairs).groupBy("column", "value").agg(
         F.count(F.lit(1)).alias("n")
     )
     return counted.filter(F.col("n") > 1)
@@ -161,8 +162,7 @@ def row_violations(catalog: DataFrame) -> DataFrame:
         )
         for rule, broken, detail in _row_rules()
     ]
-    found = F.array_compact(F.array(*checks))
-    return catalog.select(F.inline(found))
+    return inlined(catalog, [], F.array_compact(F.array(*checks)))
 
 
 def static_violations(catalog: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from fundlake import constants as C
 from fundlake import schemas as S
 from fundlake.functions import dates, jalali, text
+from fundlake.functions.rows import keep_where
 from fundlake.sources.landing import captured
 from fundlake.sources.payload import decode_json_string, from_json
 
@@ -170,5 +171,6 @@ def is_complete(quote: DataFrame) -> Column:
 def latest_quotes(quotes: DataFrame) -> DataFrame:
     """Newest quote per fund; partial maxima are taken before the shuffle."""
     fields = F.struct("date", "fetched_at", "creation", "redemption")
-    newest = quotes.filter(F.col("date").isNotNull()).groupBy(*S.KEY).agg(F.max(fields).alias("q"))
+    dated = keep_where(quotes, F.col("date").isNotNull())
+    newest = dated.groupBy(*S.KEY).agg(F.max(fields).alias("q"))
     return newest.select(*S.KEY, "q.*")

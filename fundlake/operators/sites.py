@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fundlake import constants as C
 from fundlake import schemas as S
 from fundlake.functions import text
+from fundlake.functions.rows import exploded, inlined, keep_where
 from fundlake.operators import quotes
 from fundlake.sources.landing import captured
 from fundlake.sources.payload import from_json, page_state
@@ -132,20 +133,17 @@ def site_info(responses: DataFrame) -> DataFrame:
 
 def fund_items(responses: DataFrame) -> DataFrame:
     rows = captured(responses, "fund_items", [C.RAYAN2])
-    items = rows.select(*S.KEY, from_json(F.col("body"), S.FUND_ITEMS).alias("items"))
-    return items.select(*S.KEY, F.inline("items"))
+    return inlined(rows, S.KEY, from_json(F.col("body"), S.FUND_ITEMS))
 
 
 def fund_data(responses: DataFrame) -> DataFrame:
     """Fund list of the older vendor, one row per fund, with the site's fund type."""
     rows = captured(responses, "fund_data", [C.RAYAN])
     data = rows.select(*S.KEY, from_json(F.col("body"), S.FUND_DATA).alias("d"))
-    return data.select(
-        *S.KEY,
-        F.col("d.FundType").alias("FundType"),
-        fund_type_label(F.col("d.FundType")).alias("FundTypeLabel"),
-        F.inline("d.FundList"),
-    )
+    kind = F.col("d.FundType")
+    keep = [*S.KEY, kind.alias("FundType"), fund_type_label(kind).alias("FundTypeLabel")]
+    funds = exploded(data, keep, F.col("d.FundList"), "f")
+    return funds.select(*S.KEY, "FundType", "FundTypeLabel", "f.*")
 
 
 def site_reg_no(responses: DataFrame) -> DataFrame:
@@ -201,7 +199,7 @@ def portfolios(responses: DataFrame) -> DataFrame:
         )
     )
     wanted = endpoint.isin("home", "portfolios", "fund_items", "fund_data")
-    return rows.filter(wanted).select("site_type", "url", F.inline(found))
+    return inlined(rows.filter(wanted), ["site_type", "url"], found)
 
 
 def vendor_by_trial(responses: DataFrame) -> DataFrame:
@@ -214,9 +212,8 @@ def vendor_by_trial(responses: DataFrame) -> DataFrame:
     priority = F.lit(None).cast("int")
     for i, name in enumerate(C.TRIAL_ORDER):
         priority = F.when(F.col("site_type") == name, F.lit(i)).otherwise(priority)
-    read = quotes.live_quotes(rows).filter(F.col("creation").isNotNull()).filter(
-        F.col("redemption").isNotNull() & F.col("date").isNotNull()
-    )
+    parsed = quotes.live_quotes(rows)
+    read = keep_where(parsed, quotes.is_complete(parsed))
     trials = read.select(
         text.url_domain(F.col("url")).alias("domain"),
         F.struct(priority.alias("p"), text.url_base(F.col("url")).alias("url"), "site_type").alias(

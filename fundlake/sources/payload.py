@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fundlake import constants as C
 from fundlake.functions import text
+from fundlake.functions.rows import exploded, keep_where
 
 _CELL = "<td>([^<]*)</td>"
 _ROW_BREAK = r"(?U)</tr>\s*<tr>"
@@ -30,9 +31,8 @@ def is_json_object(body: Column) -> Column:
 
 def read_records(responses: DataFrame, schema: str, keep: list[str]) -> DataFrame:
     """A body holding a list of records -> one row per record, in payload order."""
-    parsed = responses.select(*keep, from_json(F.col("body"), schema).alias("_records"))
-    exploded = parsed.select(*keep, F.posexplode("_records").alias("pos", "_record"))
-    return exploded.select(*keep, "pos", "_record.*")
+    records = exploded(responses, keep, from_json(F.col("body"), schema), "_record")
+    return records.select(*keep, "pos", "_record.*")
 
 
 def report_cells(pages: DataFrame, keep: list[str], until_last: bool) -> DataFrame:
@@ -44,11 +44,9 @@ def report_cells(pages: DataFrame, keep: list[str], until_last: bool) -> DataFra
     """
     rest = text.after_first(F.col("body"), "<tbody>")
     table = text.before_last(rest, "</tbody>") if until_last else text.before_first(rest, "</tbody>")
-    rows = pages.select(*keep, F.posexplode(F.split(table, _ROW_BREAK)).alias("pos", "_row"))
-    cells = rows.select(
-        *keep, "pos", F.regexp_extract_all("_row", F.lit(_CELL), F.lit(1)).alias("cells")
-    )
-    return cells.filter(F.size("cells") > 0)
+    rows = exploded(pages, keep, F.split(table, _ROW_BREAK), "_row")
+    cells = F.regexp_extract_all("_row", F.lit(_CELL), F.lit(1)).alias("cells")
+    return keep_where(rows.select(*keep, "pos", cells), F.size("cells") > 0)
 
 
 def script_state(html: Column, marker: str, end: str = ";\n") -> Column:

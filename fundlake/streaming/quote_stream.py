@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fundlake.functions.rows import keep_where
 from fundlake.operators.quotes import latest_quotes, live_quotes
 from fundlake.schemas import KEY, RESPONSES
 
@@ -22,7 +23,7 @@ def quote_stream(responses: DataFrame, delay: str = "1 day") -> DataFrame:
     State is bounded by the watermark and keyed by fund and time, so a fund that is polled
     very often still spreads over many state partitions.
     """
-    parsed = live_quotes(responses).filter(F.col("date").isNotNull())
+    parsed = keep_where(live_quotes(responses), F.col("date").isNotNull())
     # A watermark needs an instant; the vendor's wall clock is read as one.
     timed = parsed.withColumn("event_time", F.col("date").cast("timestamp"))
     return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(
