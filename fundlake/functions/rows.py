@@ -3,7 +3,8 @@
 Spark moves a plain filter below the projection that computes its columns, and it guards an
 inner explode with a filter on the exploded array. Both repeat the parsing inside the
 filter. The helpers here use outer generators, whose output filters stay where they are, so
-every payload is parsed once.
+every payload is parsed once. The array is computed in a projection ahead of the generator,
+where repeated parts of an expression are shared.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ def exploded(
     rows: DataFrame, keep: list, array: Column, value: str = "value", pos: str = "pos"
 ) -> DataFrame:
     """One row per array element with its position; empty and null arrays give none."""
-    flat = rows.select(*keep, F.posexplode_outer(array).alias(pos, value))
+    staged = rows.select(*keep, array.alias("_array"))
+    names = staged.columns[:-1]
+    flat = staged.select(*names, F.posexplode_outer("_array").alias(pos, value))
     return flat.filter(F.col(pos).isNotNull())
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,12 +34,13 @@ def strip(c: Column) -> Column:
 
 
 def blank_to_null(c: Column) -> Column:
-    return F.nullif(strip(c), F.lit(""))
+    return null_if_text(c, "")
 
 
 def null_if_text(c: Column, text: str) -> Column:
     """Null where the stripped value is exactly ``text``."""
-    return F.nullif(strip(c), F.lit(text))
+    stripped = strip(c)
+    return F.when(stripped != text, stripped)
 
 
 def normalize_letters(c: Column) -> Column:
@@ -62,18 +65,15 @@ def _plain_number(c: Column) -> Column:
     return F.translate(strip(c), PERSIAN_DIGITS + ARABIC_DIGITS + ",", ASCII_DIGITS * 2)
 
 
-def _reject_java_suffix(c: Column, strict: bool) -> Column:
-    """The JVM reads '5d' and '5f' as numbers; here they are bad text."""
-    bad = F.lower(F.right(c, F.lit(1))).isin("d", "f") & ~F.lower(c).endswith("inf")
-    if strict:
-        message = F.concat(F.lit("not a number: "), c)
-        return F.when(bad, F.raise_error(message)).otherwise(c)
-    return F.when(~bad, c)
-
-
 def to_double(c: Column, strict: bool = True) -> Column:
-    """Number text with Persian digits and comma separators -> double."""
-    return _cast(_reject_java_suffix(_plain_number(c), strict), "double", strict)
+    """Number text with Persian digits and comma separators -> double.
+
+    The JVM also reads '5d' and '5f' as numbers; the letters are spoilt, so that such text is
+    bad like any other. Infinity by name is bad text too.
+    """
+    spoilt = PERSIAN_DIGITS + ARABIC_DIGITS + "dDfF" + ","
+    plain = F.translate(strip(c), spoilt, ASCII_DIGITS * 2 + "????")
+    return _cast(plain, "double", strict)
 
 
 def to_bigint(c: Column, strict: bool = True) -> Column:
@@ -103,9 +103,7 @@ def before_first(c: Column, marker: str) -> Column:
 
 def before_last(c: Column, marker: str) -> Column:
     """Text ahead of the last ``marker``; empty when it does not occur."""
-    at = F.instr(F.reverse(c), marker[::-1])
-    keep = F.length(c) - at - F.lit(len(marker) - 1)
-    return F.when(at > 0, F.substring(c, F.lit(1), keep)).when(c.isNotNull(), F.lit(""))
+    return F.regexp_extract(c, f"(?s)^(.*){re.escape(marker)}", 1)
 
 
 def after_last(c: Column, marker: str) -> Column:

@@ -68,7 +68,7 @@ def live_quote_double_json(t):
         )
     )
     rows = landed(
-        t.customer,
+        t.spread("customer"),
         F.when(key % 2 == 0, F.lit(C.TADBIR)).otherwise(F.lit(C.TADBIR_MULTI)),
         F.lit("http://sector.example.ir/"),
         Q.ENDPOINT,
@@ -121,7 +121,7 @@ def leveraged_body(key: str, balance: str):
 )
 def live_quote_leveraged(t):
     rows = landed(
-        t.supplier,
+        t.spread("supplier"),
         C.TADBIR_LEVERAGED,
         site_url("lever", "s_suppkey"),
         Q.ENDPOINT,
@@ -211,7 +211,7 @@ def _common(quotes):
     _QUOTE_SQL.format(vendors="('RayanHamafza'), ('RayanHamafza2'), ('MabnaDP2')"),
 )
 def live_quote_json(t):
-    rows = three_vendor_quotes(t.supplier)
+    rows = three_vendor_quotes(t.spread("supplier"))
     return _common(Q.rayan_quotes(rows).unionByName(Q.mabna_quotes(rows)))
 
 
@@ -228,14 +228,14 @@ def live_quote_json(t):
 )
 def live_quote_all_vendors(t):
     leveraged = landed(
-        t.supplier,
+        t.spread("supplier"),
         C.TADBIR_LEVERAGED,
         site_url("lever", "s_suppkey"),
         Q.ENDPOINT,
         leveraged_body("s_suppkey", "s_acctbal"),
         portfolio_id=F.col("s_suppkey"),
     )
-    return _common(Q.live_quotes(three_vendor_quotes(t.supplier).unionByName(leveraged)))
+    return _common(Q.live_quotes(three_vendor_quotes(t.spread("supplier")).unionByName(leveraged)))
 
 
 @query(
@@ -250,7 +250,7 @@ def live_quote_all_vendors(t):
 )
 def trials(t):
     key = F.col("c_custkey")
-    tried = t.customer.withColumn("vendor", F.explode(F.array(*[F.lit(v) for v in C.TRIAL_ORDER])))
+    tried = t.spread("customer").withColumn("vendor", F.explode(F.array(*[F.lit(v) for v in C.TRIAL_ORDER])))
     vendor = F.col("vendor")
     broken = F.lit("<html>not found</html>")
     body = (
@@ -281,7 +281,7 @@ def event_quotes(t):
         F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+03:30")).alias("date_time"),
     )
     return landed(
-        t.events,
+        t.spread("events"),
         C.MABNA,
         site_url("user", "user_id"),
         Q.ENDPOINT,

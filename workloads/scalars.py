@@ -79,7 +79,7 @@ def persian_numbers(t):
     c = cents("l_extendedprice")
     decimals = text.persian_digits(F.lpad(F.pmod(c, F.lit(100)).cast("string"), 2, "0"))
     whole = fa_commas(F.call_function("div", c, F.lit(100)))
-    written = t.lineitem.select(
+    written = t.spread("lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
