@@ -7,9 +7,10 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fundlake.functions.rows import keep_where
 from fundlake.operators import allocation
 from fundlake.schemas import KEY
-from fundlake.sources.landing import failed_captures
+from fundlake.sources.landing import failed_statuses
 
 
 class FundScan(NamedTuple):
@@ -20,8 +21,7 @@ class FundScan(NamedTuple):
 def scan_cash(responses: DataFrame) -> FundScan:
     """Cash ratio of every fund; responses that give none go to the quarantine with a reason."""
     ratios = allocation.cash_ratio(responses)
-    good = ratios.filter(F.col("error").isNull()).drop("error")
-    bad = ratios.filter(F.col("error").isNotNull()).select(*KEY, "error")
-    failed = failed_captures(responses.filter(F.col("endpoint") == allocation.ENDPOINT))
-    status = failed.filter(F.col("error") == "status").select(*KEY, "error")
-    return FundScan(good, bad.unionByName(status))
+    good = keep_where(ratios, F.col("error").isNull()).drop("error")
+    bad = keep_where(ratios, F.col("error").isNotNull()).select(*KEY, "error")
+    failed = failed_statuses(responses.filter(F.col("endpoint") == allocation.ENDPOINT))
+    return FundScan(good, bad.unionByName(failed.select(*KEY, "error")))

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake import constants as C
-from fundlake.functions import text
 from fundlake.schemas import KEY, RESPONSES
 
 
@@ -78,11 +77,8 @@ def incomplete_reports(pages: DataFrame) -> DataFrame:
     )
 
 
-def failed_captures(responses: DataFrame) -> DataFrame:
-    """Responses that a job over all funds has to step over, with the reason."""
-    reason = F.when(~F.col("status").between(200, 299), F.lit("status")).when(
-        F.coalesce(text.strip(F.col("body")), F.lit("")) == "", F.lit("empty body")
-    )
-    return responses.select(*KEY, "endpoint", "page", "status", reason.alias("error")).filter(
-        F.col("error").isNotNull()
-    )
+def failed_statuses(responses: DataFrame) -> DataFrame:
+    """Responses whose status is no success; operators leave them out, jobs report them."""
+    failed = responses.filter(~F.col("status").between(200, 299) | F.col("status").isNull())
+    error = F.concat(F.lit("status "), F.coalesce(F.col("status").cast("string"), F.lit("unknown")))
+    return failed.select(*KEY, "endpoint", "page", error.alias("error"))
