@@ -14,10 +14,11 @@ _CSV = {
     "quote": '"',
     "escape": '"',
     "nullValue": "",
-    "emptyValue": '""',
     "encoding": "UTF-8",
 }
-_BOM = "﻿"
+# Stands for a quoted empty field while reading, which Spark would take for a missing one.
+_EMPTY = chr(0xE000)
+_BOM = chr(0xFEFF)
 _ROWS_PER_FILE = 1_000_000
 
 
@@ -31,10 +32,18 @@ def with_site(catalog: DataFrame) -> DataFrame:
 def scan_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
     """Catalogue CSV (one file or a folder of them) with its declared schema.
 
-    Quoted fields may contain line breaks. A byte-order mark at the start is skipped.
+    Quoted fields may contain line breaks. A byte-order mark at the start is skipped. A
+    missing field is null, a quoted empty one is an empty string.
     """
-    reader = spark.read.schema(CATALOG).options(**_CSV, multiLine="true")
-    return reader.option("emptyValue", "").csv(path)
+    rows = spark.read.schema(CATALOG).options(**_CSV, multiLine="true", emptyValue=_EMPTY).csv(path)
+    return rows.select(
+        *[
+            F.when(F.col(name) == _EMPTY, "").otherwise(F.col(name)).alias(name)
+            if kind == "string"
+            else F.col(name)
+            for name, kind in rows.dtypes
+        ]
+    )
 
 
 def scan_catalog(spark: SparkSession, path: str) -> DataFrame:
@@ -74,6 +83,7 @@ def sink_catalog_csv(catalog: DataFrame, path: str, bom: bool = True) -> None:
         rows = rows.toDF(_BOM + first, *others)
     writer = rows.write.options(
         **_CSV,
+        emptyValue='""',
         ignoreLeadingWhiteSpace="false",
         ignoreTrailingWhiteSpace="false",
         maxRecordsPerFile=str(_ROWS_PER_FILE),
