@@ -209,25 +209,31 @@ def _truthy(json_text: Column) -> Column:
     return json_text.isNotNull() & ~json_text.isin("false", "0", "null", "")
 
 
-def state_leverage(html: Column) -> Column:
-    """Leverage facts in the script state of a home page.
+def state_leverage(pages: DataFrame) -> DataFrame:
+    """Leverage facts in the script state of home pages: ``(url, fetched_at, state)``.
 
     ``is_leverage`` is null when the state cannot be read. The amounts sit under the first
     key of the tenth query's data; should another query hold them, the first one that has
     both is used.
     """
-    redux = script_state(html, C.REDUX_STATE)
-    query = script_state(html, C.QUERY_STATE)
-    flag = F.get_json_object(redux, "$.general.data.isLeverage")
+    html = F.col("body")
+    flag = F.get_json_object(script_state(html, C.REDUX_STATE), "$.general.data.isLeverage")
+    query_schema = "queries array<struct<state: struct<data: string>>>"
     amount = "commonUnitRedemptionValueAmount double, preferredUnitRedemptionValueAmount double"
-    queries = from_json(query, "queries array<struct<state: struct<data: string>>>")["queries"]
+    parsed = pages.select(
+        "url",
+        "fetched_at",
+        flag.alias("flag"),
+        from_json(script_state(html, C.QUERY_STATE), query_schema)["queries"].alias("queries"),
+    )
     firsts = F.transform(
-        queries,
+        "queries",
         lambda q: from_json(
             F.get(F.map_values(from_json(q["state"]["data"], "map<string, string>")), F.lit(0)),
             amount,
         ),
     )
+    read = parsed.select("url", "fetched_at", "flag", firsts.alias("firsts"))
 
     def usable(a):
         return (
@@ -235,13 +241,14 @@ def state_leverage(html: Column) -> Column:
             & a["preferredUnitRedemptionValueAmount"].isNotNull()
         )
 
-    tenth = F.get(firsts, F.lit(9))
-    chosen = F.when(usable(tenth), tenth).otherwise(F.get(F.filter(firsts, usable), F.lit(0)))
-    return F.struct(
-        F.when(flag.isNotNull(), _truthy(flag)).alias("is_leverage"),
+    tenth = F.get("firsts", F.lit(9))
+    chosen = F.when(usable(tenth), tenth).otherwise(F.get(F.filter("firsts", usable), F.lit(0)))
+    state = F.struct(
+        F.when(F.col("flag").isNotNull(), _truthy(F.col("flag"))).alias("is_leverage"),
         chosen["commonUnitRedemptionValueAmount"].alias("common"),
         chosen["preferredUnitRedemptionValueAmount"].alias("preferred"),
     )
+    return read.select("url", "fetched_at", state.alias("state"))
 
 
 def leverage(responses: DataFrame) -> DataFrame:
@@ -280,8 +287,7 @@ def leverage(responses: DataFrame) -> DataFrame:
         F.max_by("quote_ratio", F.when(F.col("quote_ratio").isNotNull(), at)).alias("quote_ratio"),
     )
     pages = captured(responses, "home", [C.MABNA])
-    states = pages.select("url", "fetched_at", state_leverage(body).alias("state"))
-    per_site = states.groupBy("url").agg(F.max_by("state", "fetched_at").alias("state"))
+    per_site = state_leverage(pages).groupBy("url").agg(F.max_by("state", "fetched_at").alias("state"))
     known = lookup_join(per_fund, per_site, ["url"])
     is_leverage = F.col("state.is_leverage")
     ratio = (

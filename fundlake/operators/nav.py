@@ -41,14 +41,8 @@ def _chart_series(body: Column) -> Column:
     return from_json(body, S.TADBIR_CHART)
 
 
-def tadbir_navps(responses: DataFrame, strict: bool = False) -> DataFrame:
-    """Three parallel series joined by position; the first one carries the dates.
-
-    Order in the payload: creation, statistical, redemption. Series of unequal length are
-    an error when ``strict``; otherwise ``uneven_charts`` lists them and no row is made.
-    """
-    rows = captured(responses, CHART, [C.TADBIR, C.TADBIR_MULTI])
-    chart = rows.select(*S.KEY, _chart_series(F.col("body")).alias("chart"))
+def _zipped_series() -> tuple[Column, Column]:
+    """The three series of a ``chart`` column zipped by position, and whether they match."""
     lists = [F.get("chart", F.lit(i))["List"] for i in range(3)]
     even = (F.size(lists[0]) == F.size(lists[1])) & (F.size(lists[0]) == F.size(lists[2]))
     zipped = F.arrays_zip(
@@ -57,6 +51,18 @@ def tadbir_navps(responses: DataFrame, strict: bool = False) -> DataFrame:
         lists[1]["y"].alias("statistical"),
         lists[2]["y"].alias("redemption"),
     )
+    return zipped, even
+
+
+def tadbir_navps(responses: DataFrame, strict: bool = False) -> DataFrame:
+    """Three parallel series joined by position; the first one carries the dates.
+
+    Order in the payload: creation, statistical, redemption. Series of unequal length are
+    an error when ``strict``; otherwise ``uneven_charts`` lists them and no row is made.
+    """
+    rows = captured(responses, CHART, [C.TADBIR, C.TADBIR_MULTI])
+    chart = rows.select(*S.KEY, _chart_series(F.col("body")).alias("chart"))
+    zipped, even = _zipped_series()
     points = F.when(even, zipped)
     if strict:
         message = F.concat(F.lit("uneven chart series: "), F.col("url"))
@@ -172,9 +178,14 @@ def navps_history(responses: DataFrame) -> DataFrame:
     """
     listed = captured(responses, CHART, [C.TADBIR, C.TADBIR_MULTI, *C.RAYAN_FAMILY, C.MABNA])
     body, vendor = F.col("body"), F.col("site_type")
-    chart = _chart_series(body)
-    lists = [F.get(chart, F.lit(i))["List"] for i in range(3)]
-    even = (F.size(lists[0]) == F.size(lists[1])) & (F.size(lists[0]) == F.size(lists[2]))
+    tadbir, rayan = vendor.isin(C.TADBIR, C.TADBIR_MULTI), vendor.isin(*C.RAYAN_FAMILY)
+    parsed = listed.select(
+        *S.KEY,
+        _chart_series(F.when(tadbir, body)).alias("chart"),
+        from_json(F.when(rayan, body), S.RAYAN_POSITIONAL).alias("records"),
+        from_json(F.when(vendor == C.MABNA, body), S.MABNA_CHART)["data"].alias("data"),
+    )
+    zipped, even = _zipped_series()
 
     def point(day, creation, redemption, statistical):
         return F.struct(
@@ -185,30 +196,20 @@ def navps_history(responses: DataFrame) -> DataFrame:
         )
 
     charted = F.transform(
-        F.arrays_zip(
-            lists[0]["x"].alias("x"),
-            lists[0]["y"].alias("c"),
-            lists[1]["y"].alias("s"),
-            lists[2]["y"].alias("r"),
-        ),
-        lambda p: point(p["x"], p["c"], p["r"], p["s"]),
+        zipped, lambda p: point(p["x"], p["creation"], p["redemption"], p["statistical"])
     )
     positional = F.transform(
-        F.transform(from_json(body, S.RAYAN_POSITIONAL), lambda r: F.map_values(r)),
+        F.transform("records", lambda r: F.map_values(r)),
         lambda v: point(*[F.get(v, F.lit(i)) for i in range(4)]),
     )
-    records = F.transform(
-        from_json(body, S.MABNA_CHART)["data"],
+    dated = F.transform(
+        "data",
         lambda r: point(
             r["date_time"], r["purchase_price"], r["redemption_price"], r["statistical_value"]
         ),
     )
-    points = (
-        F.when(vendor.isin(C.TADBIR, C.TADBIR_MULTI) & even, charted)
-        .when(vendor.isin(*C.RAYAN_FAMILY), positional)
-        .when(vendor == C.MABNA, records)
-    )
-    flat = inlined(listed, S.KEY, points)
+    points = F.when(tadbir & even, charted).when(rayan, positional).otherwise(dated)
+    flat = inlined(parsed, S.KEY, points)
     day = F.col("day")
     date = (
         F.when(vendor == C.MABNA, dates.tehran_date(dates.instant(day, strict=False)))

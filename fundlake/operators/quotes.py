@@ -60,29 +60,34 @@ def leveraged_quotes(responses: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def _rayan_fields(body: Column) -> tuple[Column, Column, Column]:
-    """Both spellings of the vendor's record, whichever is present."""
-    new, old = from_json(body, S.RAYAN2_QUOTE), from_json(body, S.RAYAN_QUOTE)
-    return (
-        F.coalesce(new["purchaseNav"], old["PurchaseNav"]),
-        F.coalesce(new["saleNav"], old["SaleNav"]),
-        F.coalesce(
-            F.concat(new["date"], F.lit(" "), new["time"]),
-            F.concat(old["Date"], F.lit(" "), old["Time"]),
-        ),
+def _rayan_payloads(body: Column) -> tuple[Column, Column]:
+    """The vendor's record in its newer and its older spelling."""
+    return from_json(body, S.RAYAN2_QUOTE).alias("new"), from_json(body, S.RAYAN_QUOTE).alias("old")
+
+
+def _rayan_creation() -> Column:
+    return F.coalesce("new.purchaseNav", "old.PurchaseNav")
+
+
+def _rayan_redemption() -> Column:
+    return F.coalesce("new.saleNav", "old.SaleNav")
+
+
+def _rayan_time() -> Column:
+    space = F.lit(" ")
+    return F.coalesce(
+        F.concat("new.date", space, "new.time"), F.concat("old.Date", space, "old.Time")
     )
 
 
 def rayan_quotes(responses: DataFrame, strict: bool = False) -> DataFrame:
-    creation, redemption, published = _rayan_fields(F.col("body"))
     rows = captured(responses, ENDPOINT, C.RAYAN_FAMILY)
-    return rows.select(
+    parsed = rows.select(*KEEP, *_rayan_payloads(F.col("body")))
+    return parsed.select(
         *KEEP,
-        creation.alias("creation"),
-        redemption.alias("redemption"),
-        published.alias("published"),
-    ).select(
-        *KEEP, "creation", "redemption", jalali.to_timestamp(F.col("published"), strict).alias("date")
+        _rayan_creation().alias("creation"),
+        _rayan_redemption().alias("redemption"),
+        jalali.to_timestamp(_rayan_time(), strict).alias("date"),
     )
 
 
@@ -96,69 +101,54 @@ def mabna_quotes(responses: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
-def quote_fields(site_type: Column, body: Column) -> Column:
-    """Common raw fields of any vendor's quote: two prices and two spellings of the time."""
-    inner = decode_json_string(body)
-    tadbir = from_json(inner, S.TADBIR_QUOTE)
-    leveraged = from_json(inner, S.LEVERAGED_QUOTE)
-    rayan_creation, rayan_redemption, rayan_time = _rayan_fields(body)
-    mabna = from_json(body, S.MABNA_QUOTE)["data"]
-
-    def fields(creation, redemption, jalali_time, iso_time):
-        return F.struct(
-            creation.cast("double").alias("creation"),
-            redemption.cast("double").alias("redemption"),
-            jalali_time.alias("jalali_time"),
-            iso_time.alias("iso_time"),
-        )
+def live_quotes(responses: DataFrame) -> DataFrame:
+    """All vendors' quotes as ``(fund, fetched_at, creation, redemption, date)``.
 
-    none = F.lit(None).cast("string")
-    return (
-        F.when(
-            site_type.isin(C.TADBIR, C.TADBIR_MULTI),
-            fields(
-                text.to_whole(tadbir["subNav"], strict=False),
-                text.to_whole(tadbir["cancelNav"], strict=False),
-                tadbir["publishDate"],
-                none,
-            ),
-        )
-        .when(
-            site_type == C.TADBIR_LEVERAGED,
-            fields(
-                text.to_bigint(leveraged["SuperUnitsSubscriptionNAV"], strict=False),
-                text.to_bigint(leveraged["SuperUnitsCancelNAV"], strict=False),
-                leveraged["PublishDate"],
-                none,
-            ),
-        )
-        .when(
-            site_type.isin(*C.RAYAN_FAMILY),
-            fields(rayan_creation, rayan_redemption, rayan_time, none),
-        )
-        .when(
-            site_type == C.MABNA,
-            fields(
-                mabna["purchase_price"], mabna["redemption_price"], none, mabna["date_time"]
-            ),
-        )
+    Each body is parsed once, with its own vendor's schema, before any field is used.
+    """
+    rows = captured(responses, ENDPOINT)
+    site_type, body = F.col("site_type"), F.col("body")
+    tadbir = site_type.isin(C.TADBIR, C.TADBIR_MULTI)
+    leveraged = site_type == C.TADBIR_LEVERAGED
+    rayan = site_type.isin(*C.RAYAN_FAMILY)
+    mabna = site_type == C.MABNA
+    decoded = F.when(tadbir | leveraged, decode_json_string(body)).alias("inner")
+    new, old = _rayan_payloads(F.when(rayan, body))
+    parsed = rows.select(
+        *KEEP, decoded, new, old, from_json(F.when(mabna, body), S.MABNA_QUOTE).alias("m")
+    ).select(
+        *KEEP,
+        "new",
+        "old",
+        "m",
+        from_json(F.when(tadbir, F.col("inner")), S.TADBIR_QUOTE).alias("t"),
+        from_json(F.when(leveraged, F.col("inner")), S.LEVERAGED_QUOTE).alias("l"),
     )
 
+    def price(of_tadbir, of_leveraged, of_rayan, of_mabna):
+        return F.coalesce(
+            text.to_whole(F.col(of_tadbir), strict=False).cast("double"),
+            text.to_bigint(F.col(of_leveraged), strict=False).cast("double"),
+            of_rayan,
+            of_mabna,
+        )
 
-def live_quotes(responses: DataFrame) -> DataFrame:
-    """All vendors' quotes as ``(fund, fetched_at, creation, redemption, date)``."""
-    rows = captured(responses, ENDPOINT)
-    q = rows.select(*KEEP, quote_fields(F.col("site_type"), F.col("body")).alias("q"))
-    published = F.coalesce(
-        jalali.to_timestamp(F.col("q.jalali_time"), strict=False),
-        dates.wall_clock(F.col("q.iso_time"), strict=False),
-    )
-    return q.select(
+    common = parsed.select(
         *KEEP,
-        F.col("q.creation").alias("creation"),
-        F.col("q.redemption").alias("redemption"),
-        published.alias("date"),
+        price(
+            "t.subNav", "l.SuperUnitsSubscriptionNAV", _rayan_creation(), "m.data.purchase_price"
+        ).alias("creation"),
+        price(
+            "t.cancelNav", "l.SuperUnitsCancelNAV", _rayan_redemption(), "m.data.redemption_price"
+        ).alias("redemption"),
+        F.coalesce("t.publishDate", "l.PublishDate", _rayan_time()).alias("jalali_time"),
+        F.col("m.data.date_time").alias("iso_time"),
+    )
+    published = F.coalesce(
+        jalali.to_timestamp(F.col("jalali_time"), strict=False),
+        dates.wall_clock(F.col("iso_time"), strict=False),
     )
+    return common.select(*KEEP, "creation", "redemption", published.alias("date"))
 
 
 def is_complete(quote: DataFrame) -> Column:
