@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 
 from fundlake.operators import reconcile as R
+from fundlake.sources.tables import sink_catalog, sink_unresolved
 
 
 class CatalogUpdate(NamedTuple):
@@ -38,3 +39,12 @@ def update_catalog(
     return CatalogUpdate(
         updated, R.without_code(new), R.missing_from_registry(catalog, registry)
     )
+
+
+def write_update(update: CatalogUpdate, catalog_path: str, unresolved_path: str) -> None:
+    """Store the new catalogue version and the report of funds that could not be added.
+
+    Both paths must be new: a job cannot overwrite the catalogue it reads.
+    """
+    sink_catalog(update.catalog, catalog_path)
+    sink_unresolved(update.unresolved, unresolved_path)

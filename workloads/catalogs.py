@@ -11,7 +11,8 @@ from fundlake.plans.coverage import compare_with_exchange, count_missing
 from fundlake.plans.update_catalog import update_catalog
 from fundlake.schemas import CATALOG
 from fundlake.session import shared_folder
-from fundlake.sources.tables import scan_catalog_csv, sink_catalog_csv
+from fundlake.sources.landing import for_portfolio, latest_capture
+from fundlake.sources.tables import scan_catalog_csv, sink_catalog_csv, with_site
 from workloads.encode import cents, landed
 from workloads.registry import query
 
@@ -32,6 +33,75 @@ def joined_text(*parts):
     return F.concat(*[p if isinstance(p, F.Column) else F.lit(p) for p in parts])
 
 
+@query(
+    "site_keys",
+    """
+    SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'MabnaDP2' WHEN 2 THEN 'TadbirPardaz'
+        ELSE 'RayanHamafza' END AS site_type,
+      CASE WHEN c_custkey % 4 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS VARCHAR)
+        WHEN c_custkey % 4 = 2 THEN '' ELSE '1' END AS portfolio_id
+    FROM customer
+    """,
+)
+def site_keys(t):
+    """Site key of every row: null and blank portfolios become the vendor's default."""
+    key = F.col("c_custkey")
+    catalog = catalog_of(
+        t.customer,
+        l18=key,
+        url=F.col("c_name"),
+        portfolio_id=F.when(key % 3 == 0, text_of("c_custkey")).when(key % 3 == 1, ""),
+        site_type=F.when(key % 4 == 1, C.MABNA).when(key % 4 == 2, C.TADBIR).when(key % 4 == 3, C.RAYAN),
+    )
+    return with_site(catalog).select(
+        F.col("l18").cast("bigint").alias("c_custkey"), "site.site_type", "site.portfolio_id"
+    )
+
+
+def event_captures(t):
+    """Every event as a capture of its user's page, at the event's time."""
+    return t.events.select(
+        F.when(F.col("user_id") % 2 == 0, C.MABNA).otherwise(C.TADBIR).alias("site_type"),
+        joined_text("http://u", text_of("user_id"), ".ir/").alias("url"),
+        F.when(F.col("event_type") != "error", F.lit("7")).alias("portfolio_id"),
+        F.lit("home").alias("endpoint"),
+        F.length("event_type").alias("page"),
+        F.lit(200).alias("status"),
+        F.col("ts").cast("timestamp").alias("fetched_at"),
+        F.col("props").alias("body"),
+    )
+
+
+@query(
+    "newest_capture",
+    """
+    WITH e AS (
+      SELECT *, max(ts) OVER (PARTITION BY user_id, event_type = 'error', length(event_type)) AS newest
+      FROM events
+    )
+    SELECT 'http://u' || user_id || '.ir/' AS url, CASE WHEN event_type <> 'error' THEN '7' END AS portfolio_id,
+      CAST(length(event_type) AS BIGINT) AS page, props AS body
+    FROM e WHERE ts = newest
+    """,
+)
+def newest_capture(t):
+    page = F.col("page").cast("bigint").alias("page")
+    return latest_capture(event_captures(t)).select("url", "portfolio_id", page, "body")
+
+
+@query(
+    "portfolio_selection",
+    """
+    SELECT CASE WHEN user_id % 2 = 0 THEN 'MabnaDP2' ELSE 'TadbirPardaz' END AS site_type, count(*) AS n
+    FROM events WHERE event_type = 'error' AND user_id % 2 = 0 GROUP BY ALL
+    """,
+)
+def portfolio_selection(t):
+    """Captures of portfolio 1, which a missing id means for one of the two vendors."""
+    chosen = for_portfolio(event_captures(t), "1")
+    return chosen.groupBy("site_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 # Registry feed -------------------------------------------------------------------------
 
 

@@ -221,7 +221,7 @@ def nav_daily_arrays(t):
 @query(
     "nav_report_21",
     """
-    SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS DOUBLE) AS line,
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(l_linenumber AS DOUBLE) AS line,
       strftime(l_shipdate, '%Y-%m-%d') AS day, CAST(round(l_extendedprice * 100) AS DOUBLE) AS issue,
       CASE WHEN l_returnflag = 'R' THEN l_quantity END AS redemption,
       CAST(l_partkey AS DOUBLE) AS statistical,

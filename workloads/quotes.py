@@ -111,7 +111,8 @@ def leveraged_body(key: str, balance: str):
 @query(
     "live_quote_leveraged",
     f"""
-    SELECT s_suppkey, s_suppkey + 1000.5 AS base_cancel, s_suppkey * 2 + 1.25 AS base_total,
+    SELECT s_suppkey, CAST(s_suppkey + 1000.5 AS DOUBLE) AS base_cancel,
+      CAST(s_suppkey * 2 + 1.25 AS DOUBLE) AS base_total,
       CAST(s_suppkey + 16 AS DOUBLE) AS super_total, s_suppkey * 1000 AS base_units,
       s_suppkey * 3000 AS super_units, CAST(round(s_acctbal * 100) AS BIGINT) AS redemption,
       CAST(round(s_acctbal * 100) AS BIGINT) + 9 AS creation,
