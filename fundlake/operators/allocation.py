@@ -14,7 +14,7 @@ from fundlake import schemas as S
 from fundlake.functions import jalali, text
 from fundlake.functions.rows import exploded, inlined, keep_where
 from fundlake.operators.lookup import lookup_join
-from fundlake.sources.landing import captured
+from fundlake.sources.landing import captured, status_error
 from fundlake.sources.payload import decode_json_string, from_json, script_state
 
 ENDPOINT = "asset_allocation"
@@ -156,16 +156,24 @@ def _cash(site_type: Column, items: Column) -> Column:
 
 
 def cash_ratio(responses: DataFrame) -> DataFrame:
-    """``(fund, fetched_at, cash, error)``: no shuffle, bad bodies are named instead of raised."""
-    rows = _parsed(responses)
-    scored = rows.select(
+    """``(fund, fetched_at, cash, error)`` of every response, failed ones included.
+
+    One scan without a shuffle; what goes wrong is named in the row instead of raised, so a
+    run over all funds carries on.
+    """
+    rows = responses.filter(F.col("endpoint") == ENDPOINT)
+    failed, site_type = status_error(), F.col("site_type")
+    parsed = rows.select(
         *S.KEY,
         "fetched_at",
-        "entries",
-        _cash(F.col("site_type"), F.col("entries")).alias("cash"),
+        failed.alias("failed"),
+        F.when(failed.isNull(), entries(site_type, F.col("body"))).alias("entries"),
     )
-    error = F.when(F.col("entries").isNull(), F.lit("unreadable body")).when(
-        F.col("cash").isNull(), F.lit("cash item missing")
+    scored = parsed.select("*", _cash(site_type, F.col("entries")).alias("cash"))
+    error = (
+        F.when(F.col("failed").isNotNull(), F.col("failed"))
+        .when(F.col("entries").isNull(), F.lit("unreadable body"))
+        .when(F.col("cash").isNull(), F.lit("cash item missing"))
     )
     return scored.select(*S.KEY, "fetched_at", "cash", error.alias("error"))
 

@@ -146,31 +146,22 @@ def fund_data(responses: DataFrame) -> DataFrame:
     return funds.select(*S.KEY, "FundType", "FundTypeLabel", "f.*")
 
 
-def site_reg_no(responses: DataFrame) -> DataFrame:
-    """Registration number per site, from the page or from the site record; null if missing."""
-    body, site_type = F.col("body"), F.col("site_type")
-    from_record = from_json(body, S.SITE_INFO)["dsCode"]
-    wanted = F.when(site_type == C.RAYAN2, F.lit("site_info")).otherwise(F.lit("home"))
-    rows = responses.filter(
-        F.col("status").between(200, 299)
-        & F.col("endpoint").isin("home", "site_info")
-        & (F.col("endpoint") == wanted)
-    )
-    found = F.when(site_type == C.RAYAN2, from_record).otherwise(page_reg_no(site_type, body))
-    numbers = rows.select("site_type", "url", "fetched_at", found.alias("site_reg_no"))
-    return numbers.groupBy("site_type", "url").agg(
-        F.max_by("site_reg_no", "fetched_at").alias("site_reg_no")
-    )
+_SITE_ENDPOINTS = ["home", "site_info", "portfolios", "fund_items", "fund_data"]
 
 
-def portfolios(responses: DataFrame) -> DataFrame:
-    """``(site_type, url, portfolio_id, name)`` of every site, in one scan.
+def site_summary(responses: DataFrame) -> DataFrame:
+    """What the responses of a site tell, one small row per response.
 
-    A multi-basket site lists its baskets but the first; any other site of that vendor is
-    its own portfolio ``1``, named by its URL.
+    ``detected`` is the vendor of a home page, ``site_reg_no`` the registration number of a
+    page or site record, ``portfolios`` the listed ``(portfolio_id, name)``. A multi-basket
+    site lists its baskets but the first; any other site of that vendor is its own
+    portfolio ``1``, named by its URL.
     """
     site_type, body, endpoint = F.col("site_type"), F.col("body"), F.col("endpoint")
-    rows = responses.filter(F.col("status").between(200, 299))
+    is_home = endpoint == "home"
+    rows = responses.filter(
+        F.col("status").between(200, 299) & endpoint.isin(*_SITE_ENDPOINTS)
+    )
     entry = "array<struct<portfolio_id: string, name: string>>"
 
     def listed(records, id_name, name):
@@ -182,7 +173,7 @@ def portfolios(responses: DataFrame) -> DataFrame:
     single = F.array(F.struct(F.lit("1"), F.col("url"))).cast(entry)
     found = (
         F.when(
-            site_type.isin(*C.TADBIR_FAMILY) & (endpoint == "home"),
+            site_type.isin(*C.TADBIR_FAMILY) & is_home,
             F.when(flag(body, "isETFMultiNavMode"), options).otherwise(single),
         )
         .when(
@@ -198,8 +189,47 @@ def portfolios(responses: DataFrame) -> DataFrame:
             listed(from_json(body, S.FUND_DATA)["FundList"], "FundId", "FundName"),
         )
     )
-    wanted = endpoint.isin("home", "portfolios", "fund_items", "fund_data")
-    return inlined(rows.filter(wanted), ["site_type", "url"], found)
+    number = F.when(
+        (site_type == C.RAYAN2) & (endpoint == "site_info"), from_json(body, S.SITE_INFO)["dsCode"]
+    ).when(is_home, page_reg_no(site_type, body))
+    return rows.select(
+        "site_type",
+        "url",
+        "endpoint",
+        "fetched_at",
+        F.when(is_home, vendor(body)).alias("detected"),
+        number.alias("site_reg_no"),
+        found.alias("portfolios"),
+    )
+
+
+def summary_detected(summary: DataFrame) -> DataFrame:
+    """``(url, site_type)`` of the home pages; null where no vendor fits."""
+    homes = summary.filter(F.col("endpoint") == "home")
+    return homes.select("url", F.col("detected").alias("site_type"))
+
+
+def summary_reg_no(summary: DataFrame) -> DataFrame:
+    """Registration number per site from its newest page or site record; null if missing."""
+    source = F.when(F.col("site_type") == C.RAYAN2, "site_info").otherwise("home")
+    rows = summary.filter(F.col("endpoint") == source)
+    return rows.groupBy("site_type", "url").agg(
+        F.max_by("site_reg_no", "fetched_at").alias("site_reg_no")
+    )
+
+
+def summary_portfolios(summary: DataFrame) -> DataFrame:
+    return inlined(summary, ["site_type", "url"], F.col("portfolios"))
+
+
+def site_reg_no(responses: DataFrame) -> DataFrame:
+    """``(site_type, url, site_reg_no)`` of every site."""
+    return summary_reg_no(site_summary(responses))
+
+
+def portfolios(responses: DataFrame) -> DataFrame:
+    """``(site_type, url, portfolio_id, name)`` of every site, in one scan."""
+    return summary_portfolios(site_summary(responses))
 
 
 def vendor_by_trial(responses: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fundlake.operators import quality as Q
 from fundlake.operators import reconcile as R
 from fundlake.operators import sites
+from fundlake.session import stored
 
 
 class CatalogCheck(NamedTuple):
@@ -25,13 +26,14 @@ def check_live(catalog: DataFrame, responses: DataFrame) -> CatalogCheck:
     """Static rules, then stored values against landed sites.
 
     Returns the violations ``(rule, key, detail)`` and the catalogue with vendor types
-    corrected to the detected ones.
+    corrected to the detected ones. Page bodies are read once, into a stored summary that
+    all live rules share.
     """
-    homes = responses.filter((F.col("endpoint") == "home") & F.col("status").between(200, 299))
-    detected = sites.classify(homes, ["url"]).select("url", "site_type")
+    summary = stored(sites.site_summary(responses), "site-summary")
+    detected = sites.summary_detected(summary)
     types = Q.site_type_mismatches(catalog, detected)
-    numbers = Q.reg_no_mismatches(catalog, sites.site_reg_no(responses))
-    ids = Q.portfolio_mismatches(sites.portfolios(responses), catalog)
+    numbers = Q.reg_no_mismatches(catalog, sites.summary_reg_no(summary))
+    ids = Q.portfolio_mismatches(sites.summary_portfolios(summary), catalog)
     no_site = catalog.filter(F.col("site_type").isNull())
     unclassified = detected.filter(F.col("site_type").isNull())
 

@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.functions.rows import keep_where
 from fundlake.operators import allocation
-from fundlake.schemas import KEY
-from fundlake.sources.landing import failed_statuses
 
 
 class FundScan(NamedTuple):
@@ -18,10 +15,21 @@ class FundScan(NamedTuple):
     quarantine: DataFrame
 
 
-def scan_cash(responses: DataFrame) -> FundScan:
-    """Cash ratio of every fund; responses that give none go to the quarantine with a reason."""
+def scan_cash(responses: DataFrame) -> DataFrame:
+    """Cash ratio of every response with its ``outcome``: measured or quarantined."""
     ratios = allocation.cash_ratio(responses)
-    good = keep_where(ratios, F.col("error").isNull()).drop("error")
-    bad = keep_where(ratios, F.col("error").isNotNull()).select(*KEY, "error")
-    failed = failed_statuses(responses.filter(F.col("endpoint") == allocation.ENDPOINT))
-    return FundScan(good, bad.unionByName(failed.select(*KEY, "error")))
+    outcome = F.when(F.col("error").isNull(), "measured").otherwise("quarantined")
+    return ratios.withColumn("outcome", outcome)
+
+
+def store_cash(responses: DataFrame, path: str) -> None:
+    """Run the scan once and store both outcomes, each in its own partition."""
+    scan_cash(responses).write.partitionBy("outcome").parquet(path)
+
+
+def read_scan(spark: SparkSession, path: str) -> FundScan:
+    """Measures and quarantine of a stored scan; each reads its own partition."""
+    stored = spark.read.parquet(path)
+    measured = stored.filter(F.col("outcome") == "measured").drop("error", "outcome")
+    quarantined = stored.filter(F.col("outcome") == "quarantined").drop("cash", "outcome")
+    return FundScan(measured, quarantined)

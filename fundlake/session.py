@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Every operator assumes UTC sessions and ANSI casts; the rest lets Spark re-plan at run time:
 # small sides are broadcast only after their measured size allows it, and skewed join
@@ -52,3 +52,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="fundlake-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows to the shared folder and read them back.
+
+    For small results of an expensive scan that several branches of a plan need: the scan
+    runs once, and a lost executor costs no more than reading the table again.
+    """
+    path = shared_folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -77,8 +77,7 @@ def incomplete_reports(pages: DataFrame) -> DataFrame:
     )
 
 
-def failed_statuses(responses: DataFrame) -> DataFrame:
-    """Responses whose status is no success; operators leave them out, jobs report them."""
-    failed = responses.filter(~F.col("status").between(200, 299) | F.col("status").isNull())
-    error = F.concat(F.lit("status "), F.coalesce(F.col("status").cast("string"), F.lit("unknown")))
-    return failed.select(*KEY, "endpoint", "page", error.alias("error"))
+def status_error() -> Column:
+    """Reason why a response counts as failed; null for a successful one."""
+    code = F.coalesce(F.col("status").cast("string"), F.lit("unknown"))
+    return F.when(~F.coalesce(F.col("status").between(200, 299), F.lit(False)), F.concat(F.lit("status "), code))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fundlake import constants as C
 from fundlake.operators import allocation, compare, dividends, nav, quotes, sites
-from fundlake.plans.scan_funds import scan_cash
+from fundlake.plans.scan_funds import read_scan, store_cash
 from fundlake.sources.landing import (
     for_portfolio,
     incomplete_reports,
@@ -309,7 +309,7 @@ def wide(prefix=str, **changes):
     return json.dumps({prefix(k): v for k, v in record.items() if v is not None})
 
 
-def test_allocation_shapes(land):
+def test_allocation_shapes(spark, land, tmp_path):
     listed = {"List": [{"x": "الف", "y": 1.0}, {"x": "الف", "y": 40.0}, {"x": C.TADBIR_CASH[1], "y": 60}]}
     assets = {"data": {"assets": [{"percentage": 17.99317837130175, "title": C.MABNA_CASH[1]}]}}
     rows = land(
@@ -330,7 +330,9 @@ def test_allocation_shapes(land):
     maps = {r["url"]: r["weights"] for r in allocation.allocation_map(rows).collect()}
     assert maps["http://a.ir/"] == {"الف": 0.4, C.TADBIR_CASH[1]: 0.6}
 
-    scan = scan_cash(rows)
+    refused = land((C.MABNA, "http://no.ir/", "1", "asset_allocation", 1, "{}"), status=503)
+    store_cash(rows.unionByName(refused), str(tmp_path / "cash"))
+    scan = read_scan(spark, str(tmp_path / "cash"))
     cash = {r["url"]: r["cash"] for r in scan.measures.collect()}
     assert cash == {
         "http://a.ir/": 0.6,
@@ -339,7 +341,11 @@ def test_allocation_shapes(land):
         "http://s.ir/": 20.21 / 100 + 0.0 + 1.15 / 100,
     }
     errors = {r["url"]: r["error"] for r in scan.quarantine.collect()}
-    assert errors == {"http://t.ir/": "cash item missing", "http://bad.ir/": "unreadable body"}
+    assert errors == {
+        "http://t.ir/": "cash item missing",
+        "http://bad.ir/": "unreadable body",
+        "http://no.ir/": "status 503",
+    }
     plain = {r["url"]: r["leverage"] for r in allocation.leverage(rows).collect()}
     assert plain["http://r.ir/"] == 1 - cash["http://r.ir/"]
     assert plain["http://m.ir/"] is None

@@ -180,11 +180,7 @@ def cash_ratio(t):
     """,
 )
 def cash_scan_counts(t):
-    scan = scan_cash(order_allocations(t, broken=True))
-    outcomes = scan.measures.select(F.lit("measured").alias("outcome")).unionByName(
-        scan.quarantine.select(F.lit("quarantined").alias("outcome"))
-    )
-    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    return scan_cash(order_allocations(t, broken=True)).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
