@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fundlake import constants as C
 from fundlake.functions import text
 from fundlake.functions.rows import inlined
-from fundlake.operators.lookup import SALTS, lookup_join, one_per_key
+from fundlake.operators.lookup import SALTS, lookup_join, matched, one_per_key
 
 VIOLATION = ["rule", "key", "detail"]
 
@@ -80,28 +80,38 @@ def portfolio_mismatches(
     Checked URLs are those with a site portfolio, unless ``checked_urls`` names them; it is
     needed where a site answered with an empty list.
 
-    A URL whose catalogue ids are all null counts as holding ``1``. Set equality is a
-    count of sides per ``(url, portfolio_id)``, so no set is built.
+    A URL whose catalogue ids are all null counts as holding ``1``. Both sides are counted
+    together per ``(url, portfolio_id)``; facts per URL come from those counts and are
+    looked up again, so no set is built and each input is read once.
     """
-    stored = catalog.select("url", "portfolio_id").filter(F.col("url").isNotNull()).distinct()
-    per_url = stored.groupBy("url").agg(F.count("portfolio_id").alias("n_ids"))
-    actual = lookup_join(stored, per_url, ["url"]).select(
-        "url",
-        F.when(F.col("n_ids") == 0, F.lit("1")).otherwise(F.col("portfolio_id")).alias("portfolio_id"),
-        F.lit(False).alias("on_site"),
+    on_site, in_catalog = F.col("on_site"), F.col("in_catalog")
+    sides = (
+        catalog.select("url", "portfolio_id", F.lit(False).alias("on_site"))
+        .filter(F.col("url").isNotNull())
+        .unionByName(site_portfolios.select("url", "portfolio_id", F.lit(True).alias("on_site")))
+        .groupBy("url", "portfolio_id")
+        .agg(F.bool_or(on_site).alias("on_site"), F.bool_or(~on_site).alias("in_catalog"))
     )
-    found = (
-        site_portfolios.select("url", "portfolio_id")
-        .distinct()
-        .withColumn("on_site", F.lit(True))
+    stored_id = in_catalog & F.col("portfolio_id").isNotNull()
+    per_url = sides.groupBy("url").agg(
+        F.bool_or(in_catalog).alias("stored"),
+        F.bool_or(on_site).alias("checked"),
+        (~F.bool_or(stored_id)).alias("only_null"),
+        F.bool_or(on_site & F.col("portfolio_id").eqNullSafe("1")).alias("site_has_1"),
     )
-    sides = actual.unionByName(found).groupBy("url", "portfolio_id").agg(
-        F.bool_or("on_site").alias("on_site"), F.bool_or(~F.col("on_site")).alias("in_catalog")
+    if checked_urls is not None:
+        per_url = matched(per_url, checked_urls, "url", salts=1).withColumn("checked", F.lit(True))
+    compared = lookup_join(sides, per_url.filter("stored AND checked"), ["url"], "inner")
+    is_null = F.col("portfolio_id").isNull()
+    differs = (
+        F.when(F.col("only_null") & is_null, ~F.col("site_has_1"))
+        .when(F.col("only_null"), F.col("portfolio_id") != "1")
+        .otherwise(on_site != in_catalog)
+    )
+    shown = F.when(F.col("only_null") & is_null, "1").otherwise(F.col("portfolio_id"))
+    return compared.filter(differs).select(
+        "url", shown.alias("portfolio_id"), "on_site", "in_catalog"
     )
-    one_sided = sides.filter(F.col("on_site") != F.col("in_catalog"))
-    checked = (found if checked_urls is None else checked_urls).select("url").distinct()
-    checked = checked.join(per_url.select("url"), "url", "left_semi")
-    return lookup_join(one_sided, checked, ["url"], "left_semi")
 
 
 def site_type_mismatches(catalog: DataFrame, detected: DataFrame) -> DataFrame:

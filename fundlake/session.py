@@ -7,9 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Every operator assumes UTC sessions and ANSI casts; the rest lets Spark re-plan at run time:
-# small sides are broadcast only after their measured size allows it, and skewed join
-# partitions are split even where that costs one more exchange.
+# Every operator assumes UTC sessions and ANSI casts. The rest is about safe joins: file sizes
+# count five times when a broadcast is planned, since Parquet is compressed; other sides are
+# broadcast only once their size has been measured; and skewed join partitions are split even
+# where that costs one more exchange.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -17,6 +18,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.sources.fileCompressionFactor": "5.0",
 }
 
 
