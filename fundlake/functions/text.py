@@ -33,10 +33,6 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def blank_to_null(c: Column) -> Column:
-    return null_if_text(c, "")
-
-
 def null_if_text(c: Column, text: str) -> Column:
     """Null where the stripped value is exactly ``text``."""
     stripped = strip(c)
@@ -65,14 +61,16 @@ def _plain_number(c: Column) -> Column:
     return F.translate(strip(c), PERSIAN_DIGITS + ARABIC_DIGITS + ",", ASCII_DIGITS * 2)
 
 
-def to_double(c: Column, strict: bool = True) -> Column:
+def to_double(c: Column, strict: bool = True, blank_is_null: bool = False) -> Column:
     """Number text with Persian digits and comma separators -> double.
 
-    The JVM also reads '5d' and '5f' as numbers; the letters are spoilt, so that such text is
+    ``blank_is_null`` accepts text of nothing but whitespace as a missing value. The JVM also reads '5d' and '5f' as numbers; the letters are spoilt, so that such text is
     bad like any other. Infinity by name is bad text too.
     """
     spoilt = PERSIAN_DIGITS + ARABIC_DIGITS + "dDfF" + ","
     plain = F.translate(strip(c), spoilt, ASCII_DIGITS * 2 + "????")
+    if strict and blank_is_null:
+        return F.when(plain != "", plain.cast("double"))
     return _cast(plain, "double", strict)
 
 

@@ -247,7 +247,7 @@ def nav_report(
             columns.append(cell.alias("Jalali Date"))
             columns.append(jalali.to_date(cell, strict).alias("date"))
         else:
-            columns.append(text.to_double(text.blank_to_null(cell), strict).alias(name))
+            columns.append(text.to_double(cell, strict, blank_is_null=True).alias(name))
     return in_range(cells.select(*keep, "pos", *columns), from_date, to_date)
 
 

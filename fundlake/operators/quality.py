@@ -85,10 +85,15 @@ def portfolio_mismatches(
     looked up again, so no set is built and each input is read once.
     """
     on_site, in_catalog = F.col("on_site"), F.col("in_catalog")
+
+    def side(rows, is_site):
+        # The same filter on both inputs lets Spark reuse one shuffle for both branches below.
+        known = rows.filter(F.col("url").isNotNull())
+        return known.select("url", "portfolio_id", F.lit(is_site).alias("on_site"))
+
     sides = (
-        catalog.select("url", "portfolio_id", F.lit(False).alias("on_site"))
-        .filter(F.col("url").isNotNull())
-        .unionByName(site_portfolios.select("url", "portfolio_id", F.lit(True).alias("on_site")))
+        side(catalog, False)
+        .unionByName(side(site_portfolios, True))
         .groupBy("url", "portfolio_id")
         .agg(F.bool_or(on_site).alias("on_site"), F.bool_or(~on_site).alias("in_catalog"))
     )

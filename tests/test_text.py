@@ -66,7 +66,8 @@ def test_letters(spark):
 
 
 def test_blank_and_infinite(spark):
-    assert one(spark, " \n ", text.blank_to_null) is None
+    assert one(spark, " \n ", lambda c: text.to_double(c, blank_is_null=True)) is None
+    assert one(spark, " ۵ ", lambda c: text.to_double(c, blank_is_null=True)) == 5.0
     assert one(spark, " ∞ ", lambda c: text.null_if_text(c, "∞")) is None
     assert one(spark, " 5 ", lambda c: text.null_if_text(c, "∞")) == "5"
 
