@@ -13,7 +13,7 @@ import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fundlake.functions.text import ascii_digits, strip
+from fundlake.functions.text import ascii_digits, plain_number, strip
 
 _CYCLE_YEARS = 33
 _CYCLE_DAYS = 33 * 365 + 8
@@ -57,7 +57,7 @@ def from_parts(year: Column, month: Column, day: Column) -> Column:
 
 def to_date(c: Column, strict: bool = True) -> Column:
     """``y/m/d`` text, padded or not, in ASCII or Persian digits -> date."""
-    parts = F.split(ascii_digits(c), "/")
+    parts = F.split(plain_number(c), "/")
     year, month, day = (F.get(parts, F.lit(i)).try_cast("int") for i in range(3))
     valid = (F.size(parts) == 3) & is_valid(year, month, day)
     parsed = F.when(valid, from_parts(year, month, day))

@@ -57,33 +57,40 @@ def _cast(c: Column, to: str, strict: bool) -> Column:
     return c.cast(to) if strict else c.try_cast(to)
 
 
-def _plain_number(c: Column) -> Column:
-    return F.translate(strip(c), PERSIAN_DIGITS + ARABIC_DIGITS + ",", ASCII_DIGITS * 2)
+def plain_number(c: Column, spoilt: str = "", dropped: str = "") -> Column:
+    """ASCII digits and ASCII spaces in one pass over the text.
+
+    Casts to numbers ignore ASCII spaces at both ends, so this also strips Unicode
+    whitespace. Characters of ``spoilt`` become question marks, those of ``dropped`` vanish.
+    """
+    source = PERSIAN_DIGITS + ARABIC_DIGITS + WHITESPACE + spoilt + dropped
+    target = ASCII_DIGITS * 2 + " " * len(WHITESPACE) + "?" * len(spoilt)
+    return F.translate(c, source, target)
 
 
 def to_double(c: Column, strict: bool = True, blank_is_null: bool = False) -> Column:
     """Number text with Persian digits and comma separators -> double.
 
-    ``blank_is_null`` accepts text of nothing but whitespace as a missing value. The JVM also reads '5d' and '5f' as numbers; the letters are spoilt, so that such text is
-    bad like any other. Infinity by name is bad text too.
+    ``blank_is_null`` accepts text of nothing but whitespace as a missing value. The JVM
+    also reads '5d' and '5f' as numbers; the letters are spoilt, so that such text is bad
+    like any other. Infinity by name is bad text too.
     """
-    spoilt = PERSIAN_DIGITS + ARABIC_DIGITS + "dDfF" + ","
-    plain = F.translate(strip(c), spoilt, ASCII_DIGITS * 2 + "????")
+    plain = plain_number(c, spoilt="dDfF", dropped=",")
     if strict and blank_is_null:
-        return F.when(plain != "", plain.cast("double"))
+        return F.when(F.trim(plain) != "", plain.cast("double"))
     return _cast(plain, "double", strict)
 
 
 def to_bigint(c: Column, strict: bool = True) -> Column:
     """Number text -> bigint, a fraction being cut off; exact for all 64-bit values."""
-    plain = _plain_number(c)
+    plain = plain_number(c, dropped=",")
     through_decimal = _cast(_cast(plain, "decimal(38,10)", strict), "bigint", strict)
     return F.coalesce(plain.try_cast("bigint"), through_decimal)
 
 
 def to_whole(c: Column, strict: bool = True) -> Column:
     """Integer text with separators -> bigint; a fraction is bad text."""
-    return _cast(_plain_number(c), "bigint", strict)
+    return _cast(plain_number(c, dropped=","), "bigint", strict)
 
 
 def after_first(c: Column, marker: str) -> Column:
