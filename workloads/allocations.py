@@ -314,13 +314,13 @@ def industries(t):
         F.array(F.struct(F.col("s_name").alias("industryName"), share.alias("share")))
     )
     embedded = F.to_json(F.struct(F.struct(F.array(record).alias("industries")).alias("data")))
-    rows = t.supplier.withColumn("even", even)
-    url = F.lit("http://industry.example.ir/")
-    key = F.col("s_suppkey")
     responses = landed(
-        rows.filter("even"), C.RAYAN2, url, "industries", own, portfolio_id=key
-    ).unionByName(
-        landed(rows.filter("NOT even"), C.MABNA, url, A.ENDPOINT, embedded, portfolio_id=key)
+        t.supplier,
+        F.when(even, C.RAYAN2).otherwise(C.MABNA),
+        F.lit("http://industry.example.ir/"),
+        F.when(even, "industries").otherwise(A.ENDPOINT),
+        F.when(even, own).otherwise(embedded),
+        portfolio_id=F.col("s_suppkey"),
     )
     return A.industries(responses).select(
         F.col("portfolio_id").cast("bigint").alias("s_suppkey"), "industry", "percentage", "site_type"

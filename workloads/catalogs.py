@@ -279,10 +279,10 @@ def coalesce_update(t):
         type=F.col("p_type"),
         ins_code=key,
     )
-    feed = t.part.filter(size >= 10).select(
+    feed = t.part.select(
         key.alias("ins_code"),
         F.when(size > 40, joined_text("L", key)).alias("l18"),
-        F.when(size <= 40, joined_text("N", F.col("p_name"))).alias("name"),
+        F.when(size.between(10, 40), joined_text("N", F.col("p_name"))).alias("name"),
         F.lit("x").alias("isin"),
         F.lit("y").alias("l30"),
         F.lit("z").alias("cisin"),
@@ -363,13 +363,13 @@ def fill_nulls(t):
         dps_interval=F.lit(7),
         site_type=F.lit(C.TADBIR),
     )
-    numbers = t.orders.filter(cust % 3 == 0).select(
-        key.alias("l18"), joined_text("r", key).alias("reg_no")
+    numbers = t.orders.select(
+        key.alias("l18"), F.when(cust % 3 == 0, joined_text("r", key)).alias("reg_no")
     )
-    intervals = t.orders.filter(cust % 4 == 0).select(
-        key.alias("l18"), (cust % 12).cast("int").alias("dps_interval")
+    intervals = t.orders.select(
+        key.alias("l18"), F.when(cust % 4 == 0, (cust % 12).cast("int")).alias("dps_interval")
     )
-    types = t.orders.filter(cust % 5 == 0).select(key.alias("l18"), F.lit(C.MABNA).alias("site_type"))
+    types = t.orders.select(key.alias("l18"), F.when(cust % 5 == 0, C.MABNA).alias("site_type"))
     filled = reconcile.fill_reg_no(catalog, numbers)
     filled = reconcile.set_dps_interval(filled, intervals)
     filled = reconcile.correct_site_type(filled, types)
@@ -441,8 +441,8 @@ def symbol_lookup(t):
     """Orders ask for their customer's site; customers with a small balance are not stored."""
     key = text_of("c_custkey")
     catalog = catalog_of(
-        t.customer.filter(F.col("c_acctbal") > 2000),
-        l18=joined_text("c", key),
+        t.customer,
+        l18=F.when(F.col("c_acctbal") > 2000, joined_text("c", key)),
         url=joined_text("http://c", key, "/"),
         site_type=F.lit(C.TADBIR),
     )
@@ -458,9 +458,8 @@ def feeds_and_catalog(t):
         return rows.select(joined_text("S", text_of(key)).alias(compare.EXCHANGE_SYMBOL))
 
     feeds = [feed(t.part, "p_partkey"), feed(t.lineitem, "l_partkey"), feed(t.orders, "o_custkey")]
-    catalog = catalog_of(
-        t.part.filter(F.col("p_size") <= 30), l18=joined_text("S", text_of("p_partkey"))
-    )
+    symbol = joined_text("S", text_of("p_partkey"))
+    catalog = catalog_of(t.part, l18=F.when(F.col("p_size") <= 30, symbol))
     ignored = C.IGNORED_DESCRIPTIONS
     descriptions = t.part.select(
         joined_text("S", text_of("p_partkey")).alias("l18"),
@@ -791,16 +790,17 @@ def update_inputs(t):
         F.when(key % 4 != 0, joined_text("n", text_of("c_nationkey"), ".ir")).alias("websiteAddress"),
         F.lit(1).alias("dividendIntervalPeriod"),
     )
-    instruments = t.customer.filter(key % 5 != 0).select(
-        joined_text("i", number).alias("ins_code"),
+    instruments = t.customer.select(
+        F.when(key % 5 != 0, joined_text("i", number)).alias("ins_code"),
         F.when(key % 6 == 0, joined_text("T", number)).alias("l18"),
         F.col("c_name").alias("name"),
         F.lit("x").alias("isin"),
         F.lit("y").alias("cisin"),
         F.lit("z").alias("l30"),
     )
-    probes = t.nation.filter(F.col("n_regionkey") != 1).select(
-        joined_text("n", text_of("n_nationkey"), ".ir").alias("domain"),
+    probed = F.col("n_regionkey") != 1
+    probes = t.nation.select(
+        F.when(probed, joined_text("n", text_of("n_nationkey"), ".ir")).alias("domain"),
         joined_text("http://n", text_of("n_nationkey"), ".ir/").alias("url"),
         F.lit(C.TADBIR).alias("site_type"),
     )

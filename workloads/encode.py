@@ -45,7 +45,7 @@ def landed(
     rows: DataFrame,
     vendor: Column | str,
     url: Column,
-    endpoint: str,
+    endpoint: Column | str,
     body: Column,
     portfolio_id: Column | str = "1",
     page: Column | int = 1,
@@ -59,7 +59,7 @@ def landed(
         column(vendor).alias("site_type"),
         url.alias("url"),
         column(portfolio_id).cast("string").alias("portfolio_id"),
-        F.lit(endpoint).alias("endpoint"),
+        column(endpoint).alias("endpoint"),
         column(page).cast("int").alias("page"),
         F.lit(200).alias("status"),
         F.lit("2024-01-01 00:00:00").cast("timestamp").alias("fetched_at"),
