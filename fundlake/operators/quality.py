@@ -18,14 +18,14 @@ VIOLATION = ["rule", "key", "detail"]
 
 
 def duplicate_values(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """``(column, value, n)`` for values that occur more than once; nulls equal each other.
+    """``(column_name, value, n)`` for values that occur more than once; nulls equal each other.
 
     All columns are counted in one grouping, whatever their number.
     """
     pairs = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+        *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
     )
-    counted = inlined(rows, [], pairs).groupBy("column", "value").agg(
+    counted = inlined(rows, [], pairs).groupBy("column_name", "value").agg(
         F.count(F.lit(1)).alias("n")
     )
     return counted.filter(F.col("n") > 1)
@@ -184,7 +184,7 @@ def static_violations(catalog: DataFrame) -> DataFrame:
     """All rules that need the catalogue alone, as ``(rule, key, detail)``."""
     count = F.col("n").cast("string")
     values = duplicate_values(catalog, ["l18", "name", "ins_code"]).select(
-        F.concat(F.lit("repeated "), F.col("column")).alias("rule"),
+        F.concat(F.lit("repeated "), F.col("column_name")).alias("rule"),
         F.col("value").alias("key"),
         count.alias("detail"),
     )

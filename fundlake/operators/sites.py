@@ -244,16 +244,30 @@ def vendor_by_trial(responses: DataFrame) -> DataFrame:
         priority = F.when(F.col("site_type") == name, F.lit(i)).otherwise(priority)
     parsed = quotes.live_quotes(rows)
     read = keep_where(parsed, quotes.is_complete(parsed))
-    trials = read.select(
-        text.url_domain(F.col("url")).alias("domain"),
-        F.struct(priority.alias("p"), text.url_base(F.col("url")).alias("url"), "site_type").alias(
-            "trial"
-        ),
-    )
-    best = trials.groupBy("domain").agg(F.min("trial").alias("best"))
+    return _first_per_domain(read.select(priority.alias("priority"), "url", "site_type"))
+
+
+def _first_per_domain(found: DataFrame) -> DataFrame:
+    """``(domain, url, site_type)`` of the smallest ``priority`` per domain of ``url``."""
+    candidate = F.struct("priority", text.url_base(F.col("url")).alias("url"), "site_type")
+    keyed = found.select(text.url_domain(F.col("url")).alias("domain"), candidate.alias("found"))
+    best = keyed.groupBy("domain").agg(F.min("found").alias("best"))
     return best.select("domain", "best.url", "best.site_type")
 
 
+def probed_sites(responses: DataFrame) -> DataFrame:
+    """``(domain, url, site_type)`` of every landed site, the input of a catalogue update.
+
+    A home page that carries a vendor's markers decides; only without one does the first
+    vendor whose quote parses.
+    """
+    pages = classify(captured(responses, "home"), ["url"])
+    marked = keep_where(pages, F.col("site_type").isNotNull())
+    tried = vendor_by_trial(responses).select(F.lit(1).alias("priority"), "url", "site_type")
+    both = marked.select(F.lit(0).alias("priority"), "url", "site_type").unionByName(tried)
+    return _first_per_domain(both)
+
+
 def versions(responses: DataFrame) -> DataFrame:
     """Distinct ``(site_type, version)``; one vendor has no version and is left out.
 

@@ -49,6 +49,16 @@ def write_quotes(quotes: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     )
 
 
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The highest version below ``path``.
+
+    Partition discovery finds the versions, so only the newest one's files are read.
+    """
+    versions = spark.read.parquet(path)
+    newest = versions.agg(F.max("v").alias("v"))
+    return versions.join(newest, "v", "left_semi").drop("v")
+
+
 def keep_latest(quotes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Maintain the newest quote per fund as a versioned table ``path/v=<batch>``.
 

@@ -32,7 +32,7 @@ def test_streamed_quotes_equal_a_batch(spark):
     from workloads.registry import Tables
 
     batch = live_quotes(event_quotes(Tables(spark, FOLDER)))
-    wanted = batch.select("url", time_text("date").alias("at")).distinct()
+    wanted = batch.select("url", time_text("date").alias("quoted_at")).distinct()
     got = queries()["quote_stream"](spark, FOLDER)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))
 

@@ -524,7 +524,7 @@ def dup_composite(t):
 @query(
     "dup_single",
     f"""
-    SELECT 'url' AS "column", CAST(url AS VARCHAR) AS value, count(*) AS n FROM ({_EVENT_KEYS})
+    SELECT 'url' AS column_name, CAST(url AS VARCHAR) AS value, count(*) AS n FROM ({_EVENT_KEYS})
     GROUP BY url HAVING count(*) > 1
     UNION ALL
     SELECT 'portfolio_id', portfolio_id, count(*) FROM ({_EVENT_KEYS})

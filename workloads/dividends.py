@@ -61,7 +61,7 @@ _PAYMENTS = """
     "dividend_html",
     f"""
     SELECT 'http://fund' || o_custkey || '.example.ir/' AS url, CAST(o_orderkey AS BIGINT) AS page,
-      CAST(k AS BIGINT) AS "row", strftime(d, '%Y-%m-%d') AS day,
+      CAST(k AS BIGINT) AS row_no, strftime(d, '%Y-%m-%d') AS day,
       o_orderkey * 1000 + k AS units, o_custkey + 100 * k AS unit_profit,
       c * k AS total_profit,
       CASE WHEN (o_orderkey + k) % 5 = 0 THEN NULL ELSE c / 1000.0 END AS percent
@@ -73,7 +73,7 @@ def dividend_html(t):
     return rows.select(
         "url",
         F.col("page").cast("bigint").alias("page"),
-        "row",
+        F.col("row").alias("row_no"),
         date_text("date").alias("day"),
         F.col("fundUnit").alias("units"),
         F.col("unitProfit").alias("unit_profit"),

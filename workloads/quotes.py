@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 from fundlake import constants as C
 from fundlake.functions import jalali, text
 from fundlake.operators import quotes as Q
-from fundlake.operators.sites import vendor_by_trial
+from fundlake.operators.sites import probed_sites, vendor_by_trial
 from fundlake.session import shared_folder
-from fundlake.streaming.quote_stream import quote_stream, read_landing_stream, write_quotes
+from fundlake.streaming.quote_stream import (
+    keep_latest,
+    quote_stream,
+    read_landing_stream,
+    read_latest,
+    write_quotes,
+)
 from workloads.encode import cents, fa, fa_commas, json_text, landed, site_url, time_text
 from workloads.registry import query
 
@@ -40,7 +46,7 @@ _SQL_TIME = """strftime(CAST(DATE '2020-01-01' + CAST({k} % 1500 AS INTEGER) AS
       c_custkey * 1000003 AS total_unit, c_custkey * 1000000007 AS total_value,
       CAST(c_custkey AS VARCHAR) || ',0' AS max_unit,
       {_SQL_TIME.format(k="c_custkey",
-        seconds="CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE c_custkey * 37 % 86400 END")} AS at
+        seconds="CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE c_custkey * 37 % 86400 END")} AS quoted_at
     FROM customer
     """,
 )
@@ -84,7 +90,7 @@ def live_quote_double_json(t):
         F.col("totalUnit").alias("total_unit"),
         F.col("totalNetAssetValue").alias("total_value"),
         F.col("maxUnit").alias("max_unit"),
-        time_text("date").alias("at"),
+        time_text("date").alias("quoted_at"),
     )
 
 
@@ -116,7 +122,7 @@ def leveraged_body(key: str, balance: str):
       CAST(s_suppkey + 16 AS DOUBLE) AS super_total, s_suppkey * 1000 AS base_units,
       s_suppkey * 3000 AS super_units, CAST(round(s_acctbal * 100) AS BIGINT) AS redemption,
       CAST(round(s_acctbal * 100) AS BIGINT) + 9 AS creation,
-      {_SQL_TIME.format(k="s_suppkey", seconds="s_suppkey % 86400")} AS at
+      {_SQL_TIME.format(k="s_suppkey", seconds="s_suppkey % 86400")} AS quoted_at
     FROM supplier
     """,
 )
@@ -139,7 +145,7 @@ def live_quote_leveraged(t):
         F.col("SuperUnitsTotalSubscription").alias("super_units"),
         "redemption",
         "creation",
-        time_text("date").alias("at"),
+        time_text("date").alias("quoted_at"),
     )
 
 
@@ -192,7 +198,7 @@ def three_vendor_quotes(suppliers):
 _QUOTE_SQL = f"""
     SELECT s_suppkey, site_type, CAST(round(s_acctbal * 100) AS DOUBLE) + 3 AS creation,
       CAST(round(s_acctbal * 100) AS DOUBLE) AS redemption,
-      {_SQL_TIME.format(k="s_suppkey", seconds="s_suppkey * 11 % 86400")} AS at
+      {_SQL_TIME.format(k="s_suppkey", seconds="s_suppkey * 11 % 86400")} AS quoted_at
     FROM supplier, (VALUES {{vendors}}) v(site_type)
 """
 
@@ -203,7 +209,7 @@ def _common(quotes):
         "site_type",
         F.col("creation").cast("double").alias("creation"),
         F.col("redemption").cast("double").alias("redemption"),
-        time_text("date").alias("at"),
+        time_text("date").alias("quoted_at"),
     )
 
 
@@ -250,6 +256,11 @@ def live_quote_all_vendors(t):
     """,
 )
 def trials(t):
+    return vendor_by_trial(trial_responses(t))
+
+
+def trial_responses(t):
+    """Quotes of every customer's site as four vendors were asked for them; some are broken."""
     key = F.col("c_custkey")
     tried = t.spread("customer").withColumn("vendor", F.explode(F.array(*[F.lit(v) for v in C.TRIAL_ORDER])))
     vendor = F.col("vendor")
@@ -270,7 +281,25 @@ def trials(t):
         .otherwise(broken)
     )
     url = F.concat(site_url("c", "c_custkey"), F.lit("api/v1/quote?x=1"))
-    return vendor_by_trial(landed(tried, vendor, url, Q.ENDPOINT, body))
+    return landed(tried, vendor, url, Q.ENDPOINT, body)
+
+
+@query(
+    "probed_sites",
+    """
+    SELECT 'c' || c_custkey || '.example.ir' AS domain,
+      'http://c' || c_custkey || '.example.ir/' AS url,
+      CASE WHEN c_nationkey < 8 THEN 'TadbirPardaz' WHEN c_custkey % 2 = 0 THEN 'RayanHamafza2'
+        WHEN c_custkey % 3 = 0 THEN 'LeveragedTadbirPardaz' ELSE 'MabnaDP2' END AS site_type
+    FROM customer
+    WHERE c_nationkey < 8 OR c_custkey % 2 = 0 OR c_custkey % 3 = 0 OR c_custkey % 5 <> 0
+    """,
+)
+def probes_of_sites(t):
+    """Customers of some nations have a marked home page; the others are told by trial."""
+    page = F.when(F.col("c_nationkey") < 8, F.lit(C.TADBIR_MARKER)).otherwise(F.lit("<html>"))
+    homes = landed(t.customer, "", site_url("c", "c_custkey"), "home", page)
+    return probed_sites(homes.unionByName(trial_responses(t)))
 
 
 def event_quotes(t):
@@ -290,9 +319,7 @@ def event_quotes(t):
     )
 
 
-@query(
-    "latest_quote",
-    """
+_LATEST = """
     WITH q AS (
       SELECT user_id, date_trunc('second', ts) AS at_time,
         CAST(round(value * 100) AS DOUBLE) + event_id % 7 AS creation,
@@ -303,19 +330,44 @@ def event_quotes(t):
       strftime(at_time, '%Y-%m-%d %H:%M:%S') AS quoted_at, creation, redemption
     FROM (SELECT *, row_number() OVER (PARTITION BY user_id
       ORDER BY at_time DESC, creation DESC, redemption DESC) AS n FROM q) WHERE n = 1
-    """,
-)
+"""
+
+
+@query("latest_quote", _LATEST)
 def latest_quote(t):
     newest = Q.latest_quotes(Q.live_quotes(event_quotes(t)))
     return newest.select("url", time_text("date").alias("quoted_at"), "creation", "redemption")
 
 
-@query("quote_stream")
-def streamed_quotes(t):
-    """Events landed as files, read back as a stream until used up."""
+def landed_events(t) -> str:
+    """Events landed as files in a fresh shared folder; returns the folder."""
     base = shared_folder(t.spark, "quote-stream")
     event_quotes(t).write.parquet(f"{base}/landing")
+    return base
+
+
+@query(
+    "quote_stream",
+    """
+    SELECT DISTINCT 'http://user' || user_id || '.example.ir/' AS url,
+      strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS quoted_at
+    FROM events
+    """,
+)
+def streamed_quotes(t):
+    """Landed events read back as a stream until used up; each quote once."""
+    base = landed_events(t)
     stream = quote_stream(read_landing_stream(t.spark, f"{base}/landing"), "400 days")
     write_quotes(stream, f"{base}/quotes", f"{base}/checkpoint").awaitTermination()
     stored = t.spark.read.parquet(f"{base}/quotes")
-    return stored.select("url", time_text("date").alias("at"))
+    return stored.select("url", time_text("date").alias("quoted_at"))
+
+
+@query("latest_quote_stream", _LATEST)
+def latest_quote_stream(t):
+    """Newest quote per fund kept by a stream over several batches of landed events."""
+    base = landed_events(t)
+    stream = Q.live_quotes(read_landing_stream(t.spark, f"{base}/landing", files_per_trigger=4))
+    keep_latest(stream, f"{base}/latest", f"{base}/checkpoint").awaitTermination()
+    newest = read_latest(t.spark, f"{base}/latest")
+    return newest.select("url", time_text("date").alias("quoted_at"), "creation", "redemption")
