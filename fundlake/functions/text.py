@@ -130,7 +130,3 @@ def url_base(c: Column) -> Column:
 
 def has_fragment(c: Column) -> Column:
     return c.contains("#")
-
-
-def lower_first(name: str) -> str:
-    return name[:1].lower() + name[1:]

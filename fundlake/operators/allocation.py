@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from fundlake import constants as C
 from fundlake import schemas as S
 from fundlake.functions import jalali, text
-from fundlake.functions.rows import exploded, inlined, keep_where
+from fundlake.functions.rows import exploded, keep_where
 from fundlake.operators.lookup import lookup_join
 from fundlake.sources.landing import captured, status_error
-from fundlake.sources.payload import decode_json_string, from_json, script_state
+from fundlake.sources.payload import decode_json_string, from_json, read_records, script_state
 
 ENDPOINT = "asset_allocation"
 _ENTRY = "array<struct<item: string, weight: double>>"
@@ -210,7 +210,7 @@ def industries(responses: DataFrame) -> DataFrame:
 def industry_records(responses: DataFrame, record: str) -> DataFrame:
     """Industry payload as a table with the record schema the caller declares."""
     rows = captured(responses, "industries", C.RAYAN_FAMILY)
-    return inlined(rows, S.KEY, from_json(F.col("body"), f"array<struct<{record}>>"))
+    return read_records(rows, f"array<struct<{record}>>", S.KEY).drop("pos")
 
 
 def _truthy(json_text: Column) -> Column:

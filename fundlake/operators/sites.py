@@ -14,7 +14,7 @@ from fundlake.functions import text
 from fundlake.functions.rows import exploded, inlined, keep_where
 from fundlake.operators import quotes
 from fundlake.sources.landing import captured
-from fundlake.sources.payload import from_json, page_state
+from fundlake.sources.payload import from_json, page_state, read_records
 
 
 def flag(html: Column, name: str) -> Column:
@@ -133,7 +133,7 @@ def site_info(responses: DataFrame) -> DataFrame:
 
 def fund_items(responses: DataFrame) -> DataFrame:
     rows = captured(responses, "fund_items", [C.RAYAN2])
-    return inlined(rows, S.KEY, from_json(F.col("body"), S.FUND_ITEMS))
+    return read_records(rows, S.FUND_ITEMS, S.KEY).drop("pos")
 
 
 def fund_data(responses: DataFrame) -> DataFrame:

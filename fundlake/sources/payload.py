@@ -24,11 +24,6 @@ def decode_json_string(body: Column) -> Column:
     return F.get_json_object(F.concat(F.lit("["), body, F.lit("]")), "$[0]")
 
 
-def is_json_object(body: Column) -> Column:
-    """Whether the text is one complete JSON object."""
-    return F.json_object_keys(body).isNotNull()
-
-
 def read_records(responses: DataFrame, schema: str, keep: list[str]) -> DataFrame:
     """A body holding a list of records -> one row per record, in payload order."""
     records = exploded(responses, keep, from_json(F.col("body"), schema), "_record")

@@ -32,7 +32,8 @@ def with_site(catalog: DataFrame) -> DataFrame:
 def scan_catalog_csv(spark: SparkSession, path: str) -> DataFrame:
     """Catalogue CSV (one file or a folder of them) with its declared schema.
 
-    Quoted fields may contain line breaks. A byte-order mark at the start is skipped. A
+    Quoted fields may contain line breaks, so a file is read by one task; the files that
+    ``sink_catalog_csv`` writes are bounded for that reason. A byte-order mark at the start is skipped. A
     missing field is null, a quoted empty one is an empty string.
     """
     rows = spark.read.schema(CATALOG).options(**_CSV, multiLine="true", emptyValue=_EMPTY).csv(path)

@@ -8,6 +8,7 @@ from fundlake import constants as C
 from fundlake.operators import compare, quality, reconcile
 from fundlake.plans.check_catalog import check_live, check_static
 from fundlake.plans.coverage import compare_with_exchange, count_missing
+from fundlake.plans.fill_catalog import fill_reg_numbers, set_payout_intervals
 from fundlake.plans.update_catalog import update_catalog
 from fundlake.schemas import CATALOG
 from fundlake.session import shared_folder
@@ -729,6 +730,41 @@ def live_correction(t):
     return check_live(checked_catalog(t), supplier_homes(t)).corrected.select("l18", "site_type")
 
 
+@query(
+    "reg_no_from_sites",
+    """
+    SELECT s_name AS l18, CASE WHEN s_suppkey % 6 = 0 THEN 'x' || s_suppkey
+      WHEN s_suppkey % 5 <> 0 AND s_suppkey % 7 <> 0 THEN CAST(s_suppkey AS VARCHAR) END AS reg_no
+    FROM supplier
+    """,
+)
+def reg_no_from_sites(t):
+    key, number = F.col("s_suppkey"), text_of("s_suppkey")
+    catalog = catalog_of(
+        t.supplier,
+        l18=F.col("s_name"),
+        reg_no=F.when(key % 6 == 0, joined_text("x", number)),
+        url=joined_text("http://s", number, ".ir/"),
+        site_type=F.lit(C.TADBIR),
+    )
+    return fill_reg_numbers(catalog, supplier_homes(t)).select("l18", "reg_no")
+
+
+@query(
+    "intervals_from_registry",
+    """
+    SELECT 'S' || p_partkey AS l18, CASE WHEN p_type NOT IN ('ECONOMY', 'SMALL') AND p_size % 7 - 2 > 0
+      THEN CAST(p_size % 7 - 2 AS BIGINT) ELSE 9 END AS dps_interval
+    FROM part
+    """,
+)
+def intervals_from_registry(t):
+    symbol = joined_text("S", text_of("p_partkey"))
+    catalog = catalog_of(t.part, l18=symbol, dps_interval=F.lit(9))
+    filled = set_payout_intervals(catalog, part_registry(t))
+    return filled.select("l18", F.col("dps_interval").cast("bigint").alias("dps_interval"))
+
+
 # Storage and the whole update ----------------------------------------------------------
 
 
