@@ -14,9 +14,6 @@ from fundlake.functions import text
 from fundlake.functions.rows import inlined
 from fundlake.operators.lookup import SALTS, lookup_join, matched, one_per_key
 
-VIOLATION = ["rule", "key", "detail"]
-
-
 def duplicate_values(rows: DataFrame, columns: list[str]) -> DataFrame:
     """``(column_name, value, n)`` for values that occur more than once; nulls equal each other.
 

@@ -16,6 +16,7 @@ from fundlake.sources.tables import (
     resort_catalog_csv,
     scan_catalog,
     scan_catalog_csv,
+    scan_feed,
     scan_registry,
     sink_catalog_csv,
     with_site,
@@ -94,6 +95,8 @@ def test_update_job(spark, tmp_path):
         [("1", "A2", None, "x"), ("7", "D2", "found", "x"), ("8", "L1", "lost", "x"), ("9", "L2", "lost", "x")],
         "ins_code string, l18 string, name string, isin string",
     )
+    instruments.write.parquet(str(tmp_path / "instruments"))
+    instruments = scan_feed(spark, str(tmp_path / "instruments"))
     probes = spark.createDataFrame(
         [("new.ir", "http://www.new.ir/", "MabnaDP2"), ("known.ir", "http://other.ir/", "Y")],
         "domain string, url string, site_type string",

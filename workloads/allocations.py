@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fundlake import constants as C
 from fundlake.functions import jalali
 from fundlake.operators import allocation as A
+from fundlake.operators.sites import home_states
 from fundlake.plans.scan_funds import scan_cash
 from workloads.encode import cents, json_text, landed, site_url
 from workloads.quotes import leveraged_body
@@ -298,6 +299,27 @@ def leverage_state_blob(t):
     )
 
 
+@query(
+    "home_state_blobs",
+    """
+    SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'false' ELSE 'true' END AS is_leverage,
+      '{"VITE_API_PREFIX":"x"}' AS env, CAST(CASE WHEN c_custkey % 5 = 0 THEN 3 ELSE 10 END AS BIGINT) AS n_queries
+    FROM customer
+    """,
+)
+def home_state_blobs(t):
+    url = site_url("mabna", "c_custkey")
+    states = home_states(landed(t.customer, C.MABNA, url, "home", state_page("c_custkey")))
+    return states.select(
+        F.regexp_extract("url", r"mabna(\d+)", 1).cast("bigint").alias("c_custkey"),
+        F.get_json_object("redux_state", "$.general.data.isLeverage").alias("is_leverage"),
+        "env",
+        F.json_array_length(F.get_json_object("query_state", "$.queries"))
+        .cast("bigint")
+        .alias("n_queries"),
+    )
+
+
 @query(
     "industries",
     """
@@ -307,6 +329,30 @@ def leverage_state_blob(t):
     """,
 )
 def industries(t):
+    return A.industries(industry_responses(t)).select(
+        F.col("portfolio_id").cast("bigint").alias("s_suppkey"), "industry", "percentage", "site_type"
+    )
+
+
+@query(
+    "industry_table",
+    """
+    SELECT s_suppkey, s_name AS name, CAST(round(s_acctbal * 100) AS DOUBLE) / 100.0 AS share
+    FROM supplier WHERE s_suppkey % 2 = 0
+    """,
+)
+def industry_table(t):
+    """The payload of one vendor as it comes, with a declared record."""
+    rows = A.industry_records(industry_responses(t), "industryName: string, share: double")
+    return rows.select(
+        F.col("portfolio_id").cast("bigint").alias("s_suppkey"),
+        F.col("industryName").alias("name"),
+        "share",
+    )
+
+
+def industry_responses(t):
+    """Suppliers as funds of two vendors, one of which embeds industries in its allocation."""
     even = F.col("s_suppkey") % 2 == 0
     share = cents("s_acctbal").cast("double") / 100
     record = F.struct(F.col("s_name").alias("title"), share.alias("percentage"))
@@ -314,7 +360,7 @@ def industries(t):
         F.array(F.struct(F.col("s_name").alias("industryName"), share.alias("share")))
     )
     embedded = F.to_json(F.struct(F.struct(F.array(record).alias("industries")).alias("data")))
-    responses = landed(
+    return landed(
         t.supplier,
         F.when(even, C.RAYAN2).otherwise(C.MABNA),
         F.lit("http://industry.example.ir/"),
@@ -322,6 +368,3 @@ def industries(t):
         F.when(even, own).otherwise(embedded),
         portfolio_id=F.col("s_suppkey"),
     )
-    return A.industries(responses).select(
-        F.col("portfolio_id").cast("bigint").alias("s_suppkey"), "industry", "percentage", "site_type"
-    )

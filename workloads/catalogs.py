@@ -14,7 +14,7 @@ from fundlake.schemas import CATALOG
 from fundlake.session import shared_folder
 from fundlake.sources.landing import for_portfolio, latest_capture
 from fundlake.sources.tables import scan_catalog_csv, sink_catalog_csv, with_site
-from workloads.encode import cents, landed
+from workloads.encode import landed
 from workloads.registry import query
 
 

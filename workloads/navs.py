@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fundlake import constants as C
 from fundlake.functions import jalali, text
 from fundlake.operators import nav as N
-from workloads.encode import cents, date_text, fa, fa_commas, html_table, landed, site_url
+from workloads.encode import cents, date_text, fa, fa_commas, html_table, landed
 from workloads.registry import query
 
 
