@@ -58,7 +58,8 @@ def from_parts(year: Column, month: Column, day: Column) -> Column:
 def to_date(c: Column, strict: bool = True) -> Column:
     """``y/m/d`` text, padded or not, in ASCII or Persian digits -> date."""
     parts = F.split(plain_number(c), "/")
-    year, month, day = (F.get(parts, F.lit(i)).try_cast("int") for i in range(3))
+    # Small integers: absurd values become null and no arithmetic below can overflow.
+    year, month, day = (F.get(parts, F.lit(i)).try_cast("smallint") for i in range(3))
     valid = (F.size(parts) == 3) & is_valid(year, month, day)
     parsed = F.when(valid, from_parts(year, month, day))
     if strict:

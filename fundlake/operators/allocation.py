@@ -283,8 +283,10 @@ def leverage(responses: DataFrame) -> DataFrame:
         F.when(is_allocation, entries(site_type, body)).alias("entries"),
         F.when(
             ~is_allocation,
-            text.to_double(quote["BaseUnitsTotalNetAssetValue"], strict=False)
-            / text.to_double(quote["SuperUnitsTotalNetAssetValue"], strict=False),
+            F.try_divide(
+                text.to_double(quote["BaseUnitsTotalNetAssetValue"], strict=False),
+                text.to_double(quote["SuperUnitsTotalNetAssetValue"], strict=False),
+            ),
         ).alias("quote_ratio"),
     ).select(
         *S.KEY, "fetched_at", _cash(site_type, F.col("entries")).alias("cash"), "quote_ratio"
@@ -300,7 +302,9 @@ def leverage(responses: DataFrame) -> DataFrame:
     is_leverage = F.col("state.is_leverage")
     ratio = (
         F.when(site_type == C.TADBIR_LEVERAGED, F.col("quote_ratio"))
-        .when((site_type == C.MABNA) & is_leverage, F.col("state.common") / F.col("state.preferred"))
+        .when(
+            (site_type == C.MABNA) & is_leverage, F.try_divide("state.common", "state.preferred")
+        )
         .when((site_type == C.MABNA) & is_leverage.isNull(), F.lit(None).cast("double"))
         .otherwise(F.lit(0.0))
     )

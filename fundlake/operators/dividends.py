@@ -63,10 +63,13 @@ def json_dividends(responses: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def payout_per_fund(dividends: DataFrame) -> DataFrame:
-    """Number of payments, their total, and the first and last date of each fund."""
+    """Number of payments, their total, and the first and last date of each fund.
+
+    The total is a wide decimal: payouts of a large fund exceed 64 bits sooner or later.
+    """
     return dividends.groupBy(*S.KEY).agg(
         F.count(F.lit(1)).alias("n_payments"),
-        F.sum("sumAllProfit").alias("total_profit"),
+        F.sum(F.col("sumAllProfit").cast("decimal(38,0)")).alias("total_profit"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
     )

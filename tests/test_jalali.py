@@ -70,6 +70,10 @@ def one(spark, value, function):
         ("1402/1", None),
         ("1402/1/1/1", None),
         ("x/1/1", None),
+        ("99999999999/1/1", None),
+        ("2147483647/2147483647/2147483647", None),
+        ("1402/-2147483648/1", None),
+        ("32767/12/30", None),
         ("", None),
         (None, None),
     ],

@@ -96,7 +96,7 @@ def dividend_payout(t):
     return paid.select(
         "url",
         "n_payments",
-        "total_profit",
+        F.col("total_profit").cast("bigint").alias("total_profit"),
         date_text("first_date").alias("first_day"),
         date_text("last_date").alias("last_day"),
     )
