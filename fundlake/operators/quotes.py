@@ -2,8 +2,8 @@
 
 Every function is a single projection over the landing rows, without any shuffle. The
 vendor functions keep all fields of their payload; ``live_quotes`` reads all vendors in one
-scan and keeps the common ones. A body that does not parse gives nulls, or an error when
-``strict``.
+scan and keeps the common ones. A body that does not parse gives nulls; when ``strict``, it is an error, as
+is a quote without prices or time.
 """
 
 from __future__ import annotations
@@ -27,18 +27,38 @@ def _parsed(responses: DataFrame, vendors: list[str], payload: Column) -> DataFr
     return rows.select(*KEEP, payload.alias("q"))
 
 
+def _required(strict: bool, **columns: Column) -> list[Column]:
+    """The named columns; when ``strict``, a null in one of them is an error."""
+    if strict:
+        columns = {
+            name: F.coalesce(c, F.raise_error(F.lit(f"quote without {name}")))
+            for name, c in columns.items()
+        }
+    return [c.alias(name) for name, c in columns.items()]
+
+
 def tadbir_quotes(responses: DataFrame, strict: bool = False) -> DataFrame:
     """Double-encoded JSON; ten whole numbers, two texts, a Jalali publishing time."""
     payload = from_json(decode_json_string(F.col("body")), S.TADBIR_QUOTE, strict)
     q = _parsed(responses, [C.TADBIR, C.TADBIR_MULTI], payload)
+    prices = ["creation", "redemption", "nominal"]
     return q.select(
         *KEEP,
         *[
             text.to_whole(F.col(f"q.{source}"), strict).alias(name)
             for source, name in S.TADBIR_QUOTE_WHOLE.items()
+            if name not in prices
         ],
+        *_required(
+            strict,
+            **{
+                name: text.to_whole(F.col(f"q.{source}"), strict)
+                for source, name in S.TADBIR_QUOTE_WHOLE.items()
+                if name in prices
+            },
+        ),
         *[F.col(f"q.{name}") for name in S.TADBIR_QUOTE_TEXT],
-        jalali.to_timestamp(F.col("q.publishDate"), strict).alias("date"),
+        *_required(strict, date=jalali.to_timestamp(F.col("q.publishDate"), strict)),
     )
 
 
@@ -48,15 +68,18 @@ def leveraged_quotes(responses: DataFrame, strict: bool = False) -> DataFrame:
     q = _parsed(responses, [C.TADBIR_LEVERAGED], payload)
     return q.select(
         *KEEP,
-        *[
-            text.to_double(F.col(f"q.{name}"), strict).alias(name)
-            for name in S.LEVERAGED_QUOTE_DOUBLE
-        ],
+        *_required(
+            strict,
+            **{name: text.to_double(F.col(f"q.{name}"), strict) for name in S.LEVERAGED_QUOTE_DOUBLE},
+            creation=text.to_bigint(F.col("q.SuperUnitsSubscriptionNAV"), strict),
+            redemption=text.to_bigint(F.col("q.SuperUnitsCancelNAV"), strict),
+        ),
         *[
             text.to_bigint(F.col(f"q.{source}"), strict).alias(name)
             for source, name in S.LEVERAGED_QUOTE_WHOLE.items()
+            if name not in ("creation", "redemption")
         ],
-        jalali.to_timestamp(F.col("q.PublishDate"), strict).alias("date"),
+        *_required(strict, date=jalali.to_timestamp(F.col("q.PublishDate"), strict)),
     )
 
 
@@ -85,9 +108,12 @@ def rayan_quotes(responses: DataFrame, strict: bool = False) -> DataFrame:
     parsed = rows.select(*KEEP, *_rayan_payloads(F.col("body")))
     return parsed.select(
         *KEEP,
-        _rayan_creation().alias("creation"),
-        _rayan_redemption().alias("redemption"),
-        jalali.to_timestamp(_rayan_time(), strict).alias("date"),
+        *_required(
+            strict,
+            creation=_rayan_creation(),
+            redemption=_rayan_redemption(),
+            date=jalali.to_timestamp(_rayan_time(), strict),
+        ),
     )
 
 
@@ -95,9 +121,12 @@ def mabna_quotes(responses: DataFrame, strict: bool = False) -> DataFrame:
     q = _parsed(responses, [C.MABNA], from_json(F.col("body"), S.MABNA_QUOTE, strict))
     return q.select(
         *KEEP,
-        F.col("q.data.purchase_price").alias("creation"),
-        F.col("q.data.redemption_price").alias("redemption"),
-        dates.wall_clock(F.col("q.data.date_time"), strict).alias("date"),
+        *_required(
+            strict,
+            creation=F.col("q.data.purchase_price"),
+            redemption=F.col("q.data.redemption_price"),
+            date=dates.wall_clock(F.col("q.data.date_time"), strict),
+        ),
     )
 
 

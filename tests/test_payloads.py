@@ -189,11 +189,29 @@ def test_broken_quote(land):
     rows = land((C.TADBIR, "http://a.ir/", "", "live_navps", 1, "<html>"))
     quote = quotes.tadbir_quotes(rows).first()
     assert quote["creation"] is None and quote["date"] is None
+    with pytest.raises(PySparkException, match="quote without"):
+        quotes.tadbir_quotes(rows, strict=True).collect()
     bad = land((C.TADBIR, "http://a.ir/", "", "live_navps", 1, tadbir_quote(subNav="many")))
     with pytest.raises(PySparkException):
         quotes.tadbir_quotes(bad, strict=True).collect()
 
 
+@pytest.mark.parametrize(
+    "vendor, operator",
+    [
+        (C.TADBIR_LEVERAGED, quotes.leveraged_quotes),
+        (C.RAYAN2, quotes.rayan_quotes),
+        (C.RAYAN, quotes.rayan_quotes),
+        (C.MABNA, quotes.mabna_quotes),
+    ],
+)
+def test_strict_quotes_need_prices(land, vendor, operator):
+    rows = land((vendor, "http://a.ir/", "1", "live_navps", 1, "{}"))
+    assert operator(rows).first()["creation"] is None
+    with pytest.raises(PySparkException, match="quote without"):
+        operator(rows, strict=True).collect()
+
+
 def test_leveraged_quote_and_leverage(land):
     percents = json.dumps(
         {"List": [{"x": C.TADBIR_CASH[0], "y": 22.29}, {"x": C.TADBIR_CASH[2], "y": 0.03}]}
