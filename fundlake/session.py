@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,13 +45,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+    """A fresh folder below ``spark.checkpoint.dir``, or below the warehouse where that is unset.
 
-    Only a session that names no such folder (tests on one machine) gets a local one.
+    Both are storage that driver and executors share; a machine's own folder never is.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="fundlake-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
