@@ -1,9 +1,9 @@
 """Quality rules judged by an isolation forest.
 
 Statistics of whole texts are taken in one pass. Random splits over them isolate unusual
-documents on short paths. The forest grows on a bounded sample of labelled documents and splits
-on the statistics that tell their good rows from their bad ones; the threshold comes from the
-scores of all labelled rows.
+documents on short paths. The forest grows on the good rows of a bounded labelled sample, over the
+ranges of all its rows, and splits on the statistics that tell good from bad; the threshold comes
+from the scores of all labelled rows.
 """
 
 from __future__ import annotations
@@ -117,9 +117,13 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Forest:
-    """Isolation trees as arrays; a path that ends early is extended by the expected rest."""
+    """Isolation trees as arrays; a path that ends early is extended by the expected rest.
 
-    def __init__(self, rows: np.ndarray, trees: int = TREES, per_tree: int = TREE_ROWS, seed: int = 7):
+    Trees grow on ``rows``, while cuts are drawn from the ranges ``low`` to ``high``: where these
+    are wider, what lies outside the rows is isolated by the first cuts.
+    """
+
+    def __init__(self, rows: np.ndarray, low=None, high=None, trees: int = TREES, per_tree: int = TREE_ROWS, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.per_tree = max(2, min(per_tree, len(rows)))
         depth = int(np.ceil(np.log2(self.per_tree)))
@@ -130,10 +134,9 @@ class Forest:
         self.path = np.zeros((trees, nodes))
         for t in range(trees):
             own = rows[rng.choice(len(rows), self.per_tree, replace=False)]
-            self._grow(t, 0, own, 0, rng)
+            self._grow(t, 0, own, rows.min(0) if low is None else low, rows.max(0) if high is None else high, 0, rng)
 
-    def _grow(self, tree: int, node: int, rows: np.ndarray, level: int, rng) -> None:
-        low, high = (rows.min(0), rows.max(0)) if len(rows) else (np.zeros(1), np.zeros(1))
+    def _grow(self, tree: int, node: int, rows: np.ndarray, low, high, level: int, rng) -> None:
         open_ = np.flatnonzero(high > low)
         if level == self.depth or len(rows) < 2 or not len(open_):
             self.path[tree, node] = level + expected(len(rows))
@@ -143,18 +146,20 @@ class Forest:
         self.feature[tree, node], self.cut[tree, node] = f, cut
         self.path[tree, node] = -1
         side = rows[:, f] < cut
-        self._grow(tree, 2 * node + 1, rows[side], level + 1, rng)
-        self._grow(tree, 2 * node + 2, rows[~side], level + 1, rng)
+        edge = np.arange(len(low)) == f
+        self._grow(tree, 2 * node + 1, rows[side], low, np.where(edge, cut, high), level + 1, rng)
+        self._grow(tree, 2 * node + 2, rows[~side], np.where(edge, cut, low), high, level + 1, rng)
 
     @classmethod
     def separating(cls, rows: np.ndarray, good: np.ndarray) -> Forest | None:
-        """A forest on the statistics that separate the labels; on all of them if none does."""
-        if len(rows) < 2:
+        """A forest of the good rows on the statistics that separate the labels; on all if none does."""
+        if good.sum() < 2:
             return None
         apart = np.array([abs(rank_share(rows[good, f], rows[~good, f]) - 0.5) for f in range(rows.shape[1])])
         columns = np.flatnonzero(apart >= LEAST_SEPARATION)
         columns = columns if len(columns) else np.arange(rows.shape[1])
-        forest = cls(rows[:, columns])
+        rows = rows[:, columns]
+        forest = cls(rows[good], rows.min(0), rows.max(0))
         forest.columns = columns
         return forest
 
