@@ -3,8 +3,8 @@
 A byte goes if a 50-byte string that covers it also starts in a document with a smaller id. Of
 the suffix order only the first 50 bytes matter, so suffixes are compared by them.
 
-A difference cover makes this small. Of any two suffixes, some common shift below 31 brings both
-to positions of the cover (6 of 31 residues). So if 50 bytes agree, the 20-byte strings at that
+A difference cover makes this small. Of any two suffixes, some common shift below 21 brings both
+to positions of the cover (5 of 21 residues). So if 50 bytes agree, the 30-byte strings at that
 shift agree too. First the cover sample alone is sorted, bucket by bucket, which ranks each
 sampled string as found in one document or in several. Only a suffix with a shared cover string
 in reach may repeat; only these few are sorted, again one bucket at a time. Tasks exchange
@@ -27,15 +27,15 @@ from fundlake.llm.common import ROW, numbered
 from fundlake.session import stored
 
 LENGTH = 50
-PERIOD = 31
-#: A perfect difference set modulo 31: every shift occurs between two of its members.
-COVER = (1, 5, 11, 24, 25, 27)
+PERIOD = 21
+#: A perfect difference set modulo 21: every shift occurs between two of its members.
+COVER = (3, 6, 7, 12, 14)
 SEED = LENGTH - PERIOD + 1
 #: Text that one task works on at a time, and suffixes that one bucket holds, on average.
 CHUNK_BYTES = 4 << 20
 BUCKET_SUFFIXES = 2 << 20
 #: Bits of a sample's fingerprint beyond the logarithm of their number.
-SPARE_BITS = 16
+SPARE_BITS = 12
 
 _BLOCK = 1 << 18
 _U = np.uint64
@@ -68,23 +68,24 @@ def fingerprints(data: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray]
         yield start, h
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Sorted numbers as differences, byte planes apart, so that empty planes compress away."""
-    gaps = np.diff(values, prepend=_U(0))
-    return gaps.view(np.uint8).reshape(-1, 8).T.tobytes()
+def planes(values: np.ndarray) -> bytes:
+    """Eight-byte numbers as byte planes, so that empty and half-empty planes compress."""
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def unpack(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(raw, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(_U).ravel(), dtype=_U)
+def unplanes(raw: bytes, kind=np.int64) -> np.ndarray:
+    flat = pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(flat, np.uint8).reshape(8, -1).T).view(kind).ravel()
 
 
-def planes(values: np.ndarray) -> bytes:
-    return values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+def pack(values: np.ndarray) -> bytes:
+    """Sorted numbers as their differences."""
+    return planes(np.diff(values, prepend=_U(0)))
 
 
-def unplanes(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+def unpack(raw: bytes) -> np.ndarray:
+    return np.cumsum(unplanes(raw, _U), dtype=_U)
 
 
 class Chunk:
