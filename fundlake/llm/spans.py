@@ -7,8 +7,10 @@ A difference cover makes this small. Of any two suffixes, some common shift belo
 to positions of the cover (5 of 21 residues). So if 50 bytes agree, the 30-byte strings at that
 shift agree too. First the cover sample alone is sorted, bucket by bucket, which ranks each
 sampled string as found in one document or in several. Only a suffix with a shared cover string
-in reach may repeat; only these few are sorted, again one bucket at a time. Tasks exchange
-sorted, delta-coded fingerprints, each once per task, and get one bit back for each.
+in reach may repeat; only these few are sorted, again one bucket at a time: first as runs of
+suffixes between two positions that the text itself marks, then those suffixes one by one whose
+run no smaller document has. Tasks exchange sorted, delta-coded fingerprints, each once per task,
+and get one bit back for each.
 
 Fingerprints of the 50 bytes have 64 bits; those of the sample need few, as they only rule out.
 """
@@ -37,6 +39,9 @@ BUCKET_SUFFIXES = 2 << 20
 #: Bits of a sample's fingerprint beyond the logarithm of their number.
 SPARE_BITS = 12
 
+#: One suffix in so many begins a run.
+RUN = 64
+
 _BLOCK = 1 << 18
 _U = np.uint64
 
@@ -135,6 +140,23 @@ class Chunk:
         return np.concatenate(where), np.concatenate(found)
 
 
+def runs(where: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and fingerprint of the unbroken runs from one marked suffix to the next.
+
+    Marks and fingerprints depend on the suffixes alone, so equal texts have equal runs.
+    """
+    begins = np.flatnonzero(prints % _U(RUN) == 0)
+    if len(begins) < 2:
+        return begins[:0], begins[:0], prints[:0]
+    inside = np.arange(begins[0], len(prints)) - np.repeat(begins, np.diff(np.append(begins, len(prints))))
+    total = np.add.reduceat(prints[begins[0] :] * _POWER[np.minimum(inside, _BLOCK)], begins - begins[0])
+    total = (total ^ (total >> _U(32))) * _U(0xD6E8FEB86659FD93)
+    total ^= total >> _U(29)
+    length = np.diff(begins)
+    whole = np.flatnonzero((np.diff(where[begins]) == length) & (length < _BLOCK))
+    return begins[whole], begins[whole + 1], total[whole]
+
+
 def distinct(values: np.ndarray, ids: np.ndarray):
     """Sorted distinct values, each value's place among them, and its least and greatest id."""
     order = np.argsort(values, kind="stable")
@@ -218,31 +240,65 @@ def _rank_sample(rows: pa.Table) -> pa.Table:
     return _table(out, _BACK)
 
 
+class Suffixes:
+    """The suffixes of a chunk that may repeat, their runs, and what is known of them so far."""
+
+    def __init__(self, chunk: Chunk, back: pa.Table, bits: int):
+        at, found = chunk.sample(bits)
+        place = distinct(found, at)[1]
+        self.where, self.prints = chunk.suffixes(at, _flags(back, 1)[place])
+        self.ids = chunk.ids[chunk.of[self.where]]
+        self.begins, self.ends, found = runs(self.where, self.prints)
+        self.run_ids = self.ids[self.begins]
+        self.runs, self.run_place, self.run_least, _ = distinct(found, self.run_ids)
+
+    def settle(self, back: pa.Table) -> None:
+        """Leave only the suffixes outside the runs that a smaller id has; ``gone`` are those inside."""
+        known = _flags(back, 2)[self.run_place] | (self.run_ids > self.run_least[self.run_place])
+        edge = np.zeros(len(self.where) + 1, np.int32)
+        edge[self.begins[known]] += 1
+        np.subtract.at(edge, self.ends[known], 1)
+        known = np.cumsum(edge[:-1]) > 0
+        self.gone = self.where[known]
+        self.where, self.prints, self.ids = self.where[~known], self.prints[~known], self.ids[~known]
+        self.values, self.place, self.least, _ = distinct(self.prints, self.ids)
+
+
+def _send_runs(bits: int, bucket_bits: int):
+    def send(texts: pa.Table, back: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return _table([], _SENT)
+        own = Suffixes(Chunk(texts, _copies(back)), back, bits)
+        return _table(_sent(_number(texts), own.runs, 64, bucket_bits, lambda a, b: planes(own.run_least[a:b])), _SENT)
+
+    return send
+
+
 def _send_suffixes(bits: int, bucket_bits: int):
     def send(texts: pa.Table, back: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return _table([], _SENT)
-        chunk = Chunk(texts, _copies(back))
-        at, found = chunk.sample(bits)
-        place = distinct(found, at)[1]
-        where, prints = chunk.suffixes(at, _flags(back, 1)[place])
-        values, _, least, _ = distinct(prints, chunk.ids[chunk.of[where]])
-        return _table(_sent(_number(texts), values, 64, bucket_bits, lambda a, b: planes(least[a:b])), _SENT)
+        own = Suffixes(Chunk(texts, _copies(back)), back, bits)
+        own.settle(back)
+        return _table(_sent(_number(texts), own.values, 64, bucket_bits, lambda a, b: planes(own.least[a:b])), _SENT)
 
     return send
 
 
-def _sort_suffixes(rows: pa.Table) -> pa.Table:
-    """Sort one bucket of suffixes: does a smaller id than the task's own have the 50 bytes?"""
-    chunks, sent, extra = (rows.column(c).to_pylist() for c in ("chunk", "values", "extra"))
-    own = [unpack(v) for v in sent]
-    ids = [unplanes(e) for e in extra]
-    _, place, least, _ = distinct(np.concatenate(own), np.concatenate(ids))
-    out, at = [], 0
-    for chunk, mine, bucket in zip(chunks, ids, rows.column("bucket").to_pylist()):
-        out.append((chunk, 2, bucket, _bits(least[place[at : at + len(mine)]] < mine)))
-        at += len(mine)
-    return _table(out, _BACK)
+def _sort(kind: int):
+    def sort(rows: pa.Table) -> pa.Table:
+        """Sort one bucket of runs or suffixes: does a smaller id than the task's own have it?"""
+        chunks, sent, extra = (rows.column(c).to_pylist() for c in ("chunk", "values", "extra"))
+        own = [unpack(v) for v in sent]
+        ids = [unplanes(e) for e in extra]
+        _, place, least, _ = distinct(np.concatenate(own), np.concatenate(ids))
+        out, at = [], 0
+        for chunk, mine, bucket in zip(chunks, ids, rows.column("bucket").to_pylist()):
+            out.append((chunk, kind, bucket, _bits(least[place[at : at + len(mine)]] < mine)))
+            at += len(mine)
+        return _table(out, _BACK)
+
+    return sort
 
 
 _RESULT = pa.schema(
@@ -269,12 +325,10 @@ def _remove(bits: int, with_text: bool):
         if not texts.num_rows:
             return _table([], _RESULT)
         chunk = Chunk(texts, _copies(back))
-        at, found = chunk.sample(bits)
-        place = distinct(found, at)[1]
-        where, prints = chunk.suffixes(at, _flags(back, 1)[place])
-        ids = chunk.ids[chunk.of[where]]
-        _, place, least, _ = distinct(prints, ids)
-        again = where[_flags(back, 2)[place] | (ids > least[place] if len(ids) else False)]
+        own = Suffixes(chunk, back, bits)
+        own.settle(back)
+        again = own.where[_flags(back, 3)[own.place] | (own.ids > own.least[own.place])]
+        again = np.concatenate([own.gone, again])
         edge = np.zeros(len(chunk.data) + 1, np.int32)
         edge[again] += 1  # positions are distinct
         np.subtract.at(edge, again + LENGTH, 1)
@@ -287,8 +341,8 @@ def _remove(bits: int, with_text: bool):
                 starts, ends = [0], [n]
             elif row in chunk.place:
                 first = int(chunk.starts[chunk.place[row]])
-                own = np.flatnonzero(np.diff(gone[first : first + n].astype(np.int8), prepend=0, append=0))
-                starts, ends = own[::2].tolist(), own[1::2].tolist()
+                edges = np.flatnonzero(np.diff(gone[first : first + n].astype(np.int8), prepend=0, append=0))
+                starts, ends = edges[::2].tolist(), edges[1::2].tolist()
             left, last = [], 0
             for a, b in zip(starts, ends):
                 left.append(data[last:a])
@@ -337,6 +391,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sample = texts.cogroup(copies.groupBy("chunk")).applyInArrow(_send_sample(bits, bucket_bits), _SENT_SQL)
     shared = sample.groupBy("bucket").applyInArrow(_rank_sample, _BACK_SQL)
     told = copies.union(shared)
-    suffixes = texts.cogroup(told.groupBy("chunk")).applyInArrow(_send_suffixes(bits, bucket_bits), _SENT_SQL)
-    told = told.union(suffixes.groupBy("bucket").applyInArrow(_sort_suffixes, _BACK_SQL))
+    sent = texts.cogroup(told.groupBy("chunk")).applyInArrow(_send_runs(bits, bucket_bits), _SENT_SQL)
+    told = told.union(sent.groupBy("bucket").applyInArrow(_sort(2), _BACK_SQL))
+    sent = texts.cogroup(told.groupBy("chunk")).applyInArrow(_send_suffixes(bits, bucket_bits), _SENT_SQL)
+    told = told.union(sent.groupBy("bucket").applyInArrow(_sort(3), _BACK_SQL))
     return texts.cogroup(told.groupBy("chunk")).applyInArrow(_remove(bits, with_text), _RESULT_SQL)
