@@ -3,9 +3,10 @@
 Every hash function gives two signature values, the least and the greatest hash of a document's
 shingles, so half as many hashes are evaluated. Bands of values find candidates. Documents with
 equal sets are one node. A node is compared with the first node of each of its buckets; the
-verified links join nodes into components. Only where a bucket still holds several components
-are their nodes compared across, so no group gives all its pairs, yet no bucket pair that could
-join two components stays unchecked.
+verified links join nodes into components. Where a bucket still holds several components, the
+sets of their nodes are multiplied in blocks, which counts all intersections without a row for
+each pair; a block gives one link for each two components that it joins. So no bucket pair that
+could join two components stays unchecked.
 """
 
 from __future__ import annotations
@@ -30,6 +31,10 @@ REMEMBERED_WORDS = 300_000
 #: Shingles hashed at a time.
 BLOCK = 1 << 18
 
+#: Shingles of a block of nodes, on average, and columns that are multiplied at a time.
+BLOCK_SHINGLES = 400_000
+COLUMNS = 4096
+
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -166,6 +171,62 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _joining(percent: int):
+    schema = pa.schema([("x", pa.int64()), ("y", pa.int64())])
+
+    def joining(rows: pa.Table) -> pa.Table:
+        """Labels that some similar pair of nodes, one of each block, joins; each two labels once."""
+        i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+        block, label = rows.column("block").to_numpy(), rows.column("label").to_numpy()
+        lists = rows.column("shingles").combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        _, column = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        often = np.bincount(column)
+        own = often[column] > 1
+        column, owner = (np.cumsum(often > 1) - 1)[column[own]], owner[own]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        place = np.full((2, len(sizes)), -1)
+        place[0, left], place[1, right] = np.arange(len(left)), np.arange(len(right))
+        both = np.zeros((len(left), len(right)), np.float32)
+        order = np.argsort(column, kind="stable")
+        column, owner = column[order], owner[order]
+        for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            part = slice(*np.searchsorted(column, [start, start + COLUMNS]))
+            sides = []
+            for side, count in enumerate((len(left), len(right))):
+                matrix = np.zeros((count, COLUMNS), np.float32)
+                at = place[side, owner[part]]
+                matrix[at[at >= 0], column[part][at >= 0] - start] = 1
+                sides.append(matrix)
+            both += sides[0] @ sides[1].T
+        either = sizes[left][:, None] + sizes[right][None, :] - both
+        similar = (100 * both >= percent * either) & (label[left][:, None] != label[right][None, :])
+        a, b = np.nonzero(similar)
+        pairs = np.unique(np.sort(np.stack([label[left][a], label[right][b]], 1), 1), axis=0)
+        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=schema)
+
+    return joining
+
+
+def _merging(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``x``, ``y`` between labels whose nodes share a bucket and are similar."""
+    placed = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    mixed = placed.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
+    placed = stored(placed.join(mixed.select("key", "least"), "key"), "mixed")
+    near = components(placed.select(F.col("label").alias("x"), F.col("least").alias("y")).distinct())
+    near = near.select(F.col("node").alias("label"), F.col("label").alias("cluster"))
+    nodes = placed.select("node", "label").distinct().join(near, "label")
+    nodes = stored(nodes.join(sets, "node").select("node", "label", "cluster", "shingles"), "clusters")
+    blocks = nodes.groupBy("cluster").agg(F.ceil(F.sum(F.size("shingles")) / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    dealt = nodes.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "label", "shingles"
+    )
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(_joining(percent), "x long, y long")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -197,20 +258,7 @@ def near_duplicates(
     links = stored(_confirmed(tried, sets, percent), "links")
     labels = components(links)
 
-    # Buckets that still hold several components: compare their nodes across components.
-    placed = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    mixed = placed.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("key")
-    placed = stored(placed.join(mixed, "key").join(nodes.select("node", "n_shingles"), "node"), "mixed")
-    one = placed.select("key", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n_shingles").alias("nx"))
-    two = placed.select("key", F.col("node").alias("y"), F.col("label").alias("ly"), F.col("n_shingles").alias("ny"))
-    across = one.join(two, "key").where(
-        (F.col("lx") < F.col("ly")) & (100 * F.col("nx") >= percent * F.col("ny")) & (100 * F.col("ny") >= percent * F.col("nx"))
-    )
-    across = across.select("x", "y", "lx", "ly").distinct()
-    across = across.join(tried, ["x", "y"], "left_anti").join(tried.select(F.col("x").alias("y"), F.col("y").alias("x")), ["x", "y"], "left_anti")
-    across = stored(across, "across")
-    more = _confirmed(across.select("x", "y"), sets, percent).join(across, ["x", "y"])
-    merged = components(more.select(F.col("lx").alias("x"), F.col("ly").alias("y")).distinct())
+    merged = components(_merging(members, labels, sets, percent))
     merged = merged.select(F.col("node").alias("label"), F.col("label").alias("top"))
 
     group = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

@@ -159,6 +159,23 @@ def test_near_chain_and_star(spark):
     check_near(docs, 3, 85)
 
 
+def test_near_edits_of_one_text_in_many_blocks(spark, monkeypatch):
+    """Edits are near the original or near each other only; the original itself is edited too."""
+    from fundlake.llm import minhash
+
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 500)
+    rng = random.Random(8)
+    source = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(120):
+        words = list(rng.choice([source, texts[-1].split() if texts and rng.random() < 0.2 else source]))
+        for _ in range(rng.randrange(1, 7)):
+            words[rng.randrange(150)] = f"x{rng.randrange(900)}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check_near(docs, 3, 85)
+
+
 def test_values_are_minima_and_maxima_of_the_same_hashes():
     from fundlake.llm.minhash import BAND_ROWS, bands_for, signatures
 
