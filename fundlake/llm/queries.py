@@ -11,8 +11,10 @@ from fundlake.llm.exact import exact_groups
 from fundlake.llm.minhash import near_duplicates
 from fundlake.llm.packing import packed
 from fundlake.llm.quality import quality
+from fundlake.llm.sentencepieces import decoded, encoded
 from fundlake.llm.shards import sharded
 from fundlake.llm.spans import repeated_spans
+from fundlake.llm.token_counts import context_limits, histogram
 from fundlake.llm.toxicity import toxicity
 from fundlake.llm.warc import archive_report
 from fundlake.session import configure
@@ -69,6 +71,13 @@ def _near(table):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query("op2_sentencepiece")
+def _sentencepiece(table):
+    model = vocabulary("piece_bpe_32k.model")
+    found = decoded(encoded(table("documents"), model), model)
+    return found.select("doc_id", "n_tokens", "ids_crc32", "text_sha256")
+
+
 @query("op3_repeated_spans")
 def _spans(table):
     return repeated_spans(table("documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -90,6 +99,11 @@ def _exact(table):
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query("op5_token_counts")
+def _token_counts(table):
+    return context_limits(histogram(table("documents"), vocabulary("word_bpe_49k.json")))
+
+
 @query(
     "op6_warc_index",
     """

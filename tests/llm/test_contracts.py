@@ -513,6 +513,80 @@ def test_without_labels(odd, no_labels):
     assert all(g["predicted"] == 0 for g in toxicity(odd, no_labels).collect())
 
 
+# --- sentence pieces -------------------------------------------------------------------------
+
+
+def check_pieces(docs):
+    from sentencepiece import SentencePieceProcessor
+
+    from fundlake.llm.queries import vocabulary
+    from fundlake.llm.sentencepieces import decoded, encoded
+
+    path = vocabulary("piece_bpe_32k.model")
+    model = SentencePieceProcessor(model_file=path)
+    rows = numbered_rows(docs)
+    ids = by_row(encoded(docs, path))
+    back = by_row(decoded(encoded(docs, path), path))
+    assert set(rows) == set(ids) == set(back)
+    for k, r in rows.items():
+        wanted = model.encode(r["text"] or "")
+        assert np.frombuffer(ids[k]["ids"], "<u4").tolist() == wanted, r["text"]
+        assert back[k]["n_tokens"] == len(wanted) and back[k]["text"] == model.decode(wanted) == (r["text"] or "")
+
+
+def test_pieces_odd(odd, spark):
+    check_pieces(odd)
+    texts = ["  two  spaces ", "   ", "\n\n a\n b", "tab\tx", "e\u0301 \u3000 \x00", "  lead", "aaaaaaaaaaaaaaaaaaaa", "x" * 3000]
+    check_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+
+
+@needs_data
+def test_pieces_documents(documents):
+    check_pieces(documents)
+
+
+def test_scores_are_maximised_over_shared_prefixes():
+    from fundlake.llm.queries import vocabulary
+    from fundlake.llm.sentencepieces import Pieces
+
+    model = Pieces(vocabulary("piece_bpe_32k.model"), scores=True)
+    model.score = {p: -rank for rank, p in enumerate(["a", "b", "ab", "ba", "aba", "bb", "abb"], 1)}
+    model.ids = {p: i for i, p in enumerate(model.score)}
+    words = {"".join(c) for n in range(1, 7) for c in __import__("itertools").product("ab", repeat=n)}
+    model.learn(words)
+
+    def best(word):
+        return max((best(word[: -n]) + model.score[word[-n:]] for n in (1, 2, 3) if word[-n:] in model.score and n <= len(word)), default=0.0) if word else 0.0
+
+    names = list(model.ids)
+    for word in words:
+        parts = [names[i] for i in np.frombuffer(model.words[word], "<u4")]
+        assert "".join(parts) == word and sum(model.score[p] for p in parts) == best(word)
+
+
+# --- token counts ----------------------------------------------------------------------------
+
+
+def test_every_context_limit(odd):
+    from tokenizers import Tokenizer
+
+    from fundlake.llm.queries import vocabulary
+    from fundlake.llm.token_counts import context_limits, histogram
+
+    path = vocabulary("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    lengths = [len(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids) for r in odd.collect()]
+    got = context_limits(histogram(odd, path)).collect()
+    assert sorted(g["n_tokens"] for g in got) == sorted(set(lengths))
+    for g in got:
+        limit = g["n_tokens"]
+        assert g["n_docs"] == lengths.count(limit) and g["docs_up_to"] == sum(n <= limit for n in lengths)
+        assert g["docs_beyond"] == sum(n > limit for n in lengths)
+        assert g["tokens_kept"] == sum(min(n, limit) for n in lengths)
+        assert g["tokens_cut"] == sum(lengths) - g["tokens_kept"]
+        assert g["quantile"] == pytest.approx(g["docs_up_to"] / len(lengths))
+
+
 # --- all -------------------------------------------------------------------------------------
 
 
@@ -525,6 +599,10 @@ def test_empty_tables(spark, empty, no_labels):
     assert spans.repeated_spans(empty).count() == 0
     assert packing.packed(empty, vocabulary("word_bpe_49k.json")).count() == 0
     assert shards.sharded(empty).count() == 0
+    from fundlake.llm import sentencepieces, token_counts
+
+    assert sentencepieces.encoded(empty, vocabulary("piece_bpe_32k.model")).count() == 0
+    assert token_counts.context_limits(token_counts.histogram(empty, vocabulary("word_bpe_49k.json"))).count() == 0
     assert quality.quality(empty, no_labels).count() == 0
     assert toxicity.toxicity(empty, no_labels).count() == 0
     pages = spark.createDataFrame([], "page_id long, url string, html string")
