@@ -226,7 +226,8 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     """The records of the index rows given: a selection by URL or digest is a filter on the index."""
     wanted = index.select("archive", "offset", "length")
     stretch = F.floor(F.col("offset") / STRETCH_BYTES)
-    wanted = wanted.repartition("archive", stretch).sortWithinPartitions("archive", "offset")
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few index bytes stand for many read
+    wanted = wanted.repartition(tasks, "archive", stretch).sortWithinPartitions("archive", "offset")
     return wanted.mapInArrow(_read(folder), _RECORDS_SQL)
 
 
