@@ -61,4 +61,14 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     """
     path = shared_folder(rows.sparkSession, name)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    table = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    table._stored_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``stored`` wrote, once nothing reads them any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table._stored_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
