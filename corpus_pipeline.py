@@ -50,13 +50,15 @@ def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose the spans; ``n_chars`` follows. A document that loses nothing is left as it is."""
     configure(spark)
-    docs = numbered(docs)
-    cut = repeated_spans(docs, with_text=True).where("n_removed > 0").select(ROW, "kept_text")
-    names = [c for c in docs.columns if c != ROW]
-    changed = docs.join(cut, ROW, "left")
-    text = F.coalesce("kept_text", "text")
-    new = {"text": text, "n_chars": F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("kept_text"))}
-    return changed.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(c) for c in names])
+    names = docs.columns
+    given = docs.withColumn("_null", F.col("text").isNull())
+    cut = repeated_spans(given, with_text=True, carried=(*(c for c in names if c != "text"), "_null"))
+    changed = F.col("n_removed") > 0
+    kept = {c: F.col(f"carried.{c}").alias(c) for c in names if c != "text"}
+    kept["text"] = F.when(~F.col("carried._null"), F.col("kept_text")).alias("text")
+    size = F.when(changed, F.length("kept_text")).otherwise(F.col("carried.n_chars"))
+    kept["n_chars"] = size.cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return cut.select(*[kept[c] for c in names])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundlake.session import stored
+from fundlake.session import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,6 +16,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = stored(links.select("x", "y").union(links.select("y", "x")).where("x <> y").distinct(), "edges")
     labels = stored(edges.groupBy(F.col("x").alias("node")).agg(F.least(F.col("node"), F.min("y")).alias("label")), "labels")
+    before = labels
     while True:
         near = (
             edges.join(labels.withColumnRenamed("node", "y"), "y").groupBy(F.col("x").alias("node")).agg(F.min("label").alias("near"))
@@ -25,5 +26,8 @@ def components(links: DataFrame) -> DataFrame:
         step = step.join(jump, "label").select("node", "old", F.least("label", "further").alias("label"))
         step = stored(step, "labels")
         labels = step.select("node", "label")
+        discard(before)
+        before = step
         if step.where("old <> label").isEmpty():
+            discard(edges)
             return labels

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlake.llm.common import ROW, batched, numbered, rows_of
-from fundlake.session import stored
+from fundlake.session import discard, stored
 
 BLANKS = b" \t\n\x0b\x0c\r"
 BLOCK_BYTES = 4096
@@ -90,8 +90,8 @@ def _ranked(distinct: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def identities(blocks: DataFrame) -> DataFrame:
-    """``_row``, ``level`` and ``name`` of each document from its stored blocks.
+def identities(blocks: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """``_row``, ``level`` and ``name`` of each document from its stored blocks, and tables to discard after use.
 
     A block reaches the sort once per task that saw it, never once per copy, so a text that a
     third of all rows repeat weighs no more than any other.
@@ -102,6 +102,7 @@ def identities(blocks: DataFrame) -> DataFrame:
         blocks.select(ROW, "n", "pos", "lead").join(leads.select("lead", "name"), "lead").drop("lead"),
         "block-names",
     )
+    used = [current]
     levels = (blocks.agg(F.max("n")).first()[0] or 1) - 1
     done = current.where("n = 1").select(ROW, F.lit(0).alias("level"), "name")
     for level in range(1, levels.bit_length() + 1):
@@ -120,8 +121,9 @@ def identities(blocks: DataFrame) -> DataFrame:
             ),
             "pair-names",
         )
+        used.append(current)
         done = done.union(current.where("n = 1").select(ROW, F.lit(level).alias("level"), "name"))
-    return done
+    return done, used
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES):
@@ -139,9 +141,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("data"),
     )
     blocks = stored(rows.mapInArrow(_cut(block_bytes), _SQL_TYPE), "blocks")
-    found = identities(blocks)
+    found, used = identities(blocks)
     facts = blocks.where("pos = 0").select(ROW, "doc_id", "n_chars", "text_sha256")
     rows = stored(facts.join(found, ROW), "identities")
+    discard(blocks, *used)
     best = rows.groupBy("level", "name").agg(
         F.count("*").alias("group_size"),
         F.max(F.struct("n_chars", F.bitwise_not("doc_id").alias("first"), F.bitwise_not(ROW).alias("row"), "doc_id")).alias("best"),

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from fundlake.llm.common import ROW, numbered, rows_of, to_batch
 from fundlake.llm.components import components
-from fundlake.session import stored
+from fundlake.session import discard, stored
 
 BAND_ROWS = 4
 #: Chance that a pair right at the similarity shares no band.
@@ -210,7 +210,7 @@ def _joining(percent: int):
 
 
 def _merging(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``x``, ``y`` between labels whose nodes share a bucket and are similar."""
+    """Stored links ``x``, ``y`` between labels whose nodes share a bucket and are similar."""
     placed = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     mixed = placed.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
     placed = stored(placed.join(mixed.select("key", "least"), "key"), "mixed")
@@ -224,7 +224,9 @@ def _merging(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: in
     dealt = dealt.select(
         "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "label", "shingles"
     )
-    return dealt.groupBy("cluster", "i", "j").applyInArrow(_joining(percent), "x long, y long")
+    joined = stored(dealt.groupBy("cluster", "i", "j").applyInArrow(_joining(percent), "x long, y long"), "joined")
+    discard(placed, nodes)
+    return joined
 
 
 def near_duplicates(
@@ -258,12 +260,14 @@ def near_duplicates(
     links = stored(_confirmed(tried, sets, percent), "links")
     labels = components(links)
 
-    merged = components(_merging(members, labels, sets, percent))
+    joined = _merging(members, labels, sets, percent)
+    merged = components(joined)
     merged = merged.select(F.col("node").alias("label"), F.col("label").alias("top"))
 
     group = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     group = group.join(merged, "label", "left").withColumn("label", F.coalesce("top", "label"))
     group = stored(group.select("s1", "s2", "n_shingles", "label", "first"), "groups")
+    discard(members, sets, tried, links, joined, nodes)
     heads = group.groupBy("label").agg(F.min("first").alias("head"))
     found = sketches.where("n_shingles > 0").join(group.drop("first"), ["s1", "s2", "n_shingles"]).join(heads, "label")
     alone = sketches.where("n_shingles = 0").select(

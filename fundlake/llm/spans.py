@@ -22,8 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fundlake.llm.common import ROW, numbered
 from fundlake.session import stored
@@ -322,8 +324,9 @@ _RESULT_SQL = (
 
 def _remove(bits: int, with_text: bool):
     def remove(texts: pa.Table, back: pa.Table) -> pa.Table:
-        if not texts.num_rows:
-            return _table([], _RESULT)
+        if not texts.num_rows:  # copies only of rows that are gone: cannot be, but the schema must hold
+            empty = _table([], _RESULT)
+            return empty.append_column("carried", texts.column("carried")) if "carried" in texts.column_names else empty
         chunk = Chunk(texts, _copies(back))
         own = Suffixes(chunk, back, bits)
         own.settle(back)
@@ -352,14 +355,21 @@ def _remove(bits: int, with_text: bool):
                 (row, doc, n, n - len(kept), len(starts), hashlib.sha256(kept).hexdigest(), starts, ends,
                  kept.decode("utf-8", "ignore") if with_text else None)
             )
-        return _table(rows, _RESULT)
+        out = _table(rows, _RESULT)
+        if "carried" in texts.column_names:  # rows are in row order
+            order = pc.sort_indices(texts.column(ROW))
+            out = out.append_column("carried", texts.column("carried").take(order))
+        return out
 
     return remove
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, carried: tuple[str, ...] = ()
+) -> DataFrame:
     """Spans removed from every row: ``_row, doc_id, n_bytes, n_removed, n_spans, kept_sha256``,
-    ``span_starts``, ``span_ends`` and, if asked for, ``kept_text`` (cut characters dropped).
+    ``span_starts``, ``span_ends`` and, if asked for, ``kept_text`` (cut characters dropped) and the
+    struct ``carried`` of other columns, which spares a later join with the texts.
 
     Texts are UTF-8 bytes, null ones empty; texts below 50 bytes keep all. A null id counts as
     larger than any other. Rows of one id never remove from each other. A text that copies that of
@@ -369,7 +379,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         ROW,
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("data"),
+        *([F.struct(*carried).alias("carried")] if carried else []),
     )
+    kind = StructType.fromDDL(_RESULT_SQL)
+    kind = kind.add(rows.schema["carried"]) if carried else kind
     spark = docs.sparkSession
     sizes = stored(rows.select(ROW, "doc_id", F.octet_length("data").cast("long").alias("size"), F.sha2("data", 256).alias("text")), "sizes")
     total = sizes.agg(F.sum("size")).first()[0] or 0
@@ -387,7 +400,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = stored(copies.select(number, F.lit(0).alias("kind"), F.col(ROW).alias("bucket"), F.lit(None).cast("binary").alias("flags")), "copies")
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = rows.select(number, ROW, "doc_id", "data").repartition(tasks, "chunk").groupBy("chunk")
+    texts = rows.withColumn("chunk", number).repartition(tasks, "chunk").groupBy("chunk")
     sample = texts.cogroup(copies.groupBy("chunk")).applyInArrow(_send_sample(bits, bucket_bits), _SENT_SQL)
     shared = sample.groupBy("bucket").applyInArrow(_rank_sample, _BACK_SQL)
     told = copies.union(shared)
@@ -395,4 +408,4 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     told = told.union(sent.groupBy("bucket").applyInArrow(_sort(2), _BACK_SQL))
     sent = texts.cogroup(told.groupBy("chunk")).applyInArrow(_send_suffixes(bits, bucket_bits), _SENT_SQL)
     told = told.union(sent.groupBy("bucket").applyInArrow(_sort(3), _BACK_SQL))
-    return texts.cogroup(told.groupBy("chunk")).applyInArrow(_remove(bits, with_text), _RESULT_SQL)
+    return texts.cogroup(told.groupBy("chunk")).applyInArrow(_remove(bits, with_text), kind)
