@@ -11,14 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import ROW, numbered
+from fundlake.llm.common import ROW, numbered, prepared
 from fundlake.llm.exact import exact_groups
 from fundlake.llm.minhash import near_duplicates
 from fundlake.llm.packing import packed
 from fundlake.llm.queries import vocabulary
 from fundlake.llm.spans import repeated_spans
 from fundlake.llm.toxicity import toxicity
-from fundlake.session import configure, stored
+from fundlake.session import stored
 
 ORACLE_SQL = None
 
@@ -29,27 +29,27 @@ def _only(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepared(spark)
     docs = numbered(docs)
     scores = toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return _only(docs, scores.where("predicted = 0"))
 
 
 def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepared(spark)
     docs = numbered(docs)
     return _only(docs, exact_groups(docs).where("kept"))
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepared(spark)
     docs = numbered(docs)
     return _only(docs, near_duplicates(docs, words=5, percent=80).where("kept"))
 
 
 def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose the spans; ``n_chars`` follows. A document that loses nothing is left as it is."""
-    configure(spark)
+    prepared(spark)
     names = docs.columns
     given = docs.withColumn("_null", F.col("text").isNull())
     cut = repeated_spans(given, with_text=True, carried=(*(c for c in names if c != "text"), "_null"))
@@ -62,7 +62,7 @@ def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    configure(spark)
+    prepared(spark)
     return packed(docs, vocabulary("word_bpe_49k.json"))
 
 

@@ -11,10 +11,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fundlake.session import configure
+
 #: Number of an input row. Ids may be null or repeat, so operators tell rows apart by this.
 ROW = "_row"
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the options of the library, and Arrow batches that hold few whole texts."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def ship(spark: SparkSession) -> None:
     """Give the workers this package, once per application; the driver serves the archive."""
     context = spark.sparkContext

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fundlake.llm.common import prepared
 from fundlake.llm.exact import exact_groups
 from fundlake.llm.minhash import near_duplicates
 from fundlake.llm.packing import packed
@@ -17,7 +18,6 @@ from fundlake.llm.spans import repeated_spans
 from fundlake.llm.token_counts import context_limits, histogram
 from fundlake.llm.toxicity import toxicity
 from fundlake.llm.warc import archive_report
-from fundlake.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,7 +26,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def register(build):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            configure(spark)
+            prepared(spark)
             return build(lambda table: spark.read.parquet(f"{folder}/{table}.parquet"))
 
         QUERIES[name] = run

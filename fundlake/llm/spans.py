@@ -110,8 +110,10 @@ class Chunk:
         top = np.iinfo(np.int64).max
         self.ids = np.array([top if r[1] is None else r[1] for r in own], np.int64)
         self.of = np.repeat(np.arange(len(own), dtype=np.int32), lengths)
-        self.inside = (np.arange(len(self.data)) - self.starts[self.of]).astype(np.int32) if len(own) else np.empty(0, np.int32)
-        self.left = (lengths[self.of] - self.inside).astype(np.int32) if len(own) else np.empty(0, np.int32)
+        self.inside = np.arange(len(self.data), dtype=np.int32)
+        self.inside -= np.repeat(self.starts.astype(np.int32), lengths)
+        self.left = np.repeat(lengths.astype(np.int32), lengths)
+        self.left -= self.inside
 
     def sample(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the cover and their fingerprints."""

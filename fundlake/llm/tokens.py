@@ -22,7 +22,8 @@ _PLAIN = regex.compile(r"(\p{L}*)([^\s\p{L}\p{N}\p{C}\p{M}<']*)")
 #: Byte-level units: a printable byte stands for itself, the n-th other one for character 256 + n.
 _OTHERS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
 _UNITS = {b: 256 + n for n, b in enumerate(_OTHERS)}
-MOST_WORDS = 400_000
+MOST_WORDS = 250_000
+MOST_PIECES = 150_000
 
 
 class WordIds(dict):
@@ -43,7 +44,7 @@ class WordIds(dict):
         """Ids of a text; ASCII white space only is split here, the rest is left to the tokenizer."""
         if len(self) > MOST_WORDS:
             self.clear()
-        if len(self.pieces) > MOST_WORDS:
+        if len(self.pieces) > MOST_PIECES:
             self.pieces.clear()
         return b"".join(map(self.__getitem__, data.split()))
 

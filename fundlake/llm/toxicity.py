@@ -26,7 +26,7 @@ LEAST_TEXTS = 3
 #: ... and if its share among the positives is so many standard errors from that among the rest.
 LEAST_ERRORS = 4.0
 FOLDS = 5
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 100_000
 
 #: ASCII letters to lower case, other ASCII but digits to blanks; further bytes stay.
 _FOLD = bytes(
