@@ -147,7 +147,6 @@ MABNA_REG_NO = r"(?U)(\d+)\s*نزد سازمان بورس"
 RAYAN_REG_NO = r"(?U)ثبت شده به شماره (\d+) نزد سازمان بورس"
 
 # Text around paging links and script state.
-NEXT_PAGE_LINK = r'<a href="[^"]*" title="Next page">»</a>'
 NEXT_PAGE_TITLE = '" title="Next page">'
 QUERY_STATE = "window.__REACT_QUERY_STATE__ = "
 REDUX_STATE = "window.__REACT_REDUX_STATE__ = "

@@ -71,8 +71,8 @@ def leveraged_quotes(responses: DataFrame, strict: bool = False) -> DataFrame:
         *_required(
             strict,
             **{name: text.to_double(F.col(f"q.{name}"), strict) for name in S.LEVERAGED_QUOTE_DOUBLE},
-            creation=text.to_bigint(F.col("q.SuperUnitsSubscriptionNAV"), strict),
-            redemption=text.to_bigint(F.col("q.SuperUnitsCancelNAV"), strict),
+            creation=text.to_whole(F.col("q.SuperUnitsSubscriptionNAV"), strict),
+            redemption=text.to_whole(F.col("q.SuperUnitsCancelNAV"), strict),
         ),
         *[
             text.to_bigint(F.col(f"q.{source}"), strict).alias(name)

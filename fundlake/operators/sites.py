@@ -204,9 +204,9 @@ def site_summary(responses: DataFrame) -> DataFrame:
 
 
 def summary_detected(summary: DataFrame) -> DataFrame:
-    """``(url, site_type)`` of the home pages; null where no vendor fits."""
+    """``(url, site_type)`` of the newest home page per URL; null where no vendor fits it."""
     homes = summary.filter(F.col("endpoint") == "home")
-    return homes.select("url", F.col("detected").alias("site_type"))
+    return homes.groupBy("url").agg(F.max_by("detected", "fetched_at").alias("site_type"))
 
 
 def summary_reg_no(summary: DataFrame) -> DataFrame:
@@ -218,8 +218,19 @@ def summary_reg_no(summary: DataFrame) -> DataFrame:
     )
 
 
+def _newest_lists(summary: DataFrame) -> DataFrame:
+    lists = summary.filter(F.col("portfolios").isNotNull())
+    return lists.groupBy("site_type", "url").agg(F.max_by("portfolios", "fetched_at").alias("portfolios"))
+
+
 def summary_portfolios(summary: DataFrame) -> DataFrame:
-    return inlined(summary, ["site_type", "url"], F.col("portfolios"))
+    """Portfolios of the newest list per site."""
+    return inlined(_newest_lists(summary), ["site_type", "url"], F.col("portfolios"))
+
+
+def summary_listed(summary: DataFrame) -> DataFrame:
+    """URLs that answered with a list, an empty one included."""
+    return summary.filter(F.col("portfolios").isNotNull()).select("url").distinct()
 
 
 def site_reg_no(responses: DataFrame) -> DataFrame:
@@ -269,9 +280,10 @@ def probed_sites(responses: DataFrame) -> DataFrame:
 
 
 def versions(responses: DataFrame) -> DataFrame:
-    """Distinct ``(site_type, version)``; one vendor has no version and is left out.
+    """Distinct ``(site_type, version)``; pages that name no version are left out.
 
     Kept as rows: a vendor may have any number of versions, and rows never gather in one task.
     """
     rows = captured(responses, "home").filter(F.col("site_type") != C.RAYAN)
-    return rows.select("site_type", version(F.col("body")).alias("version")).distinct()
+    found = rows.select("site_type", version(F.col("body")).alias("version")).distinct()
+    return found.filter(F.col("version").isNotNull())

@@ -33,7 +33,7 @@ def check_live(catalog: DataFrame, responses: DataFrame) -> CatalogCheck:
     detected = sites.summary_detected(summary)
     types = Q.site_type_mismatches(catalog, detected)
     numbers = Q.reg_no_mismatches(catalog, sites.summary_reg_no(summary))
-    ids = Q.portfolio_mismatches(sites.summary_portfolios(summary), catalog)
+    ids = Q.portfolio_mismatches(sites.summary_portfolios(summary), catalog, sites.summary_listed(summary))
     no_site = catalog.filter(F.col("site_type").isNull())
     unclassified = detected.filter(F.col("site_type").isNull())
 

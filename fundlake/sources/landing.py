@@ -26,18 +26,27 @@ def captured(responses: DataFrame, endpoint: str, vendors: list[str] | None = No
     return rows if vendors is None else rows.filter(F.col("site_type").isin(*vendors))
 
 
-def latest_capture(responses: DataFrame) -> DataFrame:
-    """Keep the newest capture per fund, endpoint and page.
-
-    The newest time is found on the key columns alone, so no body crosses that shuffle;
-    bodies move only in the join back.
+def latest_capture(
+    responses: DataFrame, endpoint: str | None = None, vendors: list[str] | None = None
+) -> DataFrame:
+    """Keep the newest successful capture per fund, endpoint and page.
+
+    A failed fetch never hides an earlier answer. Of equal times one capture stays. The newest
+    one is found on the key columns alone, so no body crosses that shuffle; bodies move only in
+    the join back. ``endpoint`` and ``vendors`` limit what both scans read.
     """
     keys = [*KEY, "endpoint", "page"]
-    newest = responses.groupBy(*keys).agg(F.max("fetched_at").alias("_newest"))
-    left, right = responses.alias("l"), newest.alias("r")
+    rows = responses.filter(F.col("status").between(200, 299))
+    if endpoint is not None:
+        rows = rows.filter(F.col("endpoint") == endpoint)
+    if vendors is not None:
+        rows = rows.filter(F.col("site_type").isin(*vendors))
+    rows = rows.withColumn("_capture", F.struct("fetched_at", F.monotonically_increasing_id().alias("n")))
+    newest = rows.groupBy(*keys).agg(F.max("_capture").alias("_newest"))
+    left, right = rows.alias("l"), newest.alias("r")
     same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    same.append(F.col("l.fetched_at") == F.col("r._newest"))
-    return left.join(right, same, "left_semi")
+    same.append(F.col("l._capture") == F.col("r._newest"))
+    return left.join(right, same, "left_semi").drop("_capture")
 
 
 def portfolio_or_default(portfolio_id: Column, site_type: Column) -> Column:
@@ -57,11 +66,13 @@ def for_portfolio(responses: DataFrame, portfolio_id: str) -> DataFrame:
 def incomplete_reports(pages: DataFrame) -> DataFrame:
     """Paged reports that lack pages: gaps in 1..n, or a last page that names a next one.
 
-    Each body shrinks to one boolean before the shuffle.
+    A page whose fetch failed is missing. Each body shrinks to one boolean before the shuffle.
+    A report of which every page failed is not listed: nothing tells that it has pages.
     """
-    has_next = F.col("body").contains(C.NEXT_PAGE_TITLE) | F.col("body").rlike(C.NEXT_PAGE_LINK)
+    has_next = F.col("body").contains(C.NEXT_PAGE_TITLE)
     per_report = (
-        pages.select(*KEY, "endpoint", "page", has_next.alias("has_next"))
+        pages.filter(F.col("status").between(200, 299))
+        .select(*KEY, "endpoint", "page", has_next.alias("has_next"))
         .groupBy(*KEY, "endpoint")
         .agg(
             F.min("page").alias("first_page"),

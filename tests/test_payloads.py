@@ -31,9 +31,9 @@ def dividend_page(rows, more):
     return f"<html><tr><td>before</td></tr>{table}{NEXT if more else ''}</html>"
 
 
-def dividend_row(i, day, percent=" ۲۹.۱۳ "):
-    units = f"{492836078 + i:,}".translate(FA)
-    return [str(i).translate(FA), day.translate(FA), units, "۲۴۱", "۱۱۸,۷۷۳,۴۹۴,۷۹۸", percent]
+def dividend_row(i, day, percent=" ۱۲.۷۵ "):
+    units = f"{512001024 + i:,}".translate(FA)
+    return [str(i).translate(FA), day.translate(FA), units, "۱۲۵", "۶۴,۰۰۰,۱۲۸,۲۵۶", percent]
 
 
 def report(land, pages):
@@ -55,12 +55,28 @@ def test_dividends_of_three_pages(three_pages):
     rows = dividends.report_dividends(three_pages, strict=True).orderBy("page", "pos").collect()
     assert len(rows) == 22
     assert [r["row"] for r in rows] == list(range(22))
-    assert rows[1]["fundUnit"] == 492836079
-    assert rows[0]["sumAllProfit"] == 118773494798
-    assert rows[0]["profitPercent"] == 29.13
+    assert rows[1]["fundUnit"] == 512001025
+    assert rows[0]["sumAllProfit"] == 64000128256
+    assert rows[0]["profitPercent"] == 12.75
     assert incomplete_reports(three_pages).count() == 0
 
 
+def test_a_failed_page_is_missing(land):
+    page = lambda n, status, more: land(
+        (C.TADBIR, "http://a.ir/", "", "dividend_history", n, dividend_page([dividend_row(1, "1402/1/1")], more)), status=status
+    )
+    pages = page(1, 200, True).unionByName(page(2, 500, True)).unionByName(page(3, 200, False))
+    assert incomplete_reports(pages).count() == 1
+
+
+def test_a_failed_fetch_hides_no_answer(land):
+    good = land((C.TADBIR, "http://a.ir/", "", "live_navps", 1, "one"))
+    later = land((C.TADBIR, "http://a.ir/", "", "live_navps", 1, "two"), status=500)
+    moved = later.withColumn("fetched_at", F.current_timestamp().cast(later.schema["fetched_at"].dataType))
+    kept = latest_capture(good.unionByName(good).unionByName(moved)).collect()
+    assert [r["body"] for r in kept] == ["one"]
+
+
 def test_incomplete_reports(land, three_pages):
     gap = three_pages.filter(F.col("page") != 2)
     cut = three_pages.filter(F.col("page") < 3)
@@ -144,28 +160,28 @@ def test_nav_report_pads_cuts_and_selects(land):
 
 def tadbir_quote(**changes):
     record = {
-        "subNav": "۱۶,۵۱۳",
-        "cancelNav": "۱۶,۴۱۱",
-        "esmiNav": "۱۶,۴۱۱",
+        "subNav": "۲۰,۴۱۷",
+        "cancelNav": "۲۰,۳۰۵",
+        "esmiNav": "۲۰,۳۰۵",
         "publishDate": "۱۴۰۲/۰۹/۰۱ ۱۵:۵۸:۱۲",
-        "maxUnit": "678,130,772",
-        "totalUnit": "321,869,228",
-        "totalNetAssetValue": "5,286,175,291,921",
+        "maxUnit": "500,250,125",
+        "totalUnit": "199,749,875",
+        "totalNetAssetValue": "4,100,250,750,125",
         "navDate": "1402/08/30",
-        "dailyTotalNetAssetValue": "۵,۲۸۲,۱۶۴,۳۸۸,۶۲۰",
+        "dailyTotalNetAssetValue": "۴,۱۰۰,۱۲۵,۲۵۰,۵۰۰",
     } | changes
     return json.dumps(json.dumps(record, ensure_ascii=False), ensure_ascii=False)
 
 
 def leveraged_quote():
     record = {
-        "BaseUnitsCancelNAV": "۱۵,۴۳۰.۸۲",
-        "BaseUnitsTotalNetAssetValue": "۱۲,۸۸۹,۱۷۹,۵۹۶,۷۰۰",
-        "BaseUnitsTotalSubscription": "۱,۰۳۷,۷۷۶,۱۳۵",
-        "SuperUnitsCancelNAV": "۱۳,۳۲۴",
-        "SuperUnitsSubscriptionNAV": "۱۳,۴۷۲",
-        "SuperUnitsTotalSubscription": "۱,۶۱۳,۸۰۰,۰۰۰",
-        "SuperUnitsTotalNetAssetValue": "۲۱,۵۰۱,۴۹۱,۳۶۵,۷۳۵",
+        "BaseUnitsCancelNAV": "۱۱,۲۵۰.۷۵",
+        "BaseUnitsTotalNetAssetValue": "۹,۰۰۰,۴۵۰,۹۰۰,۳۰۰",
+        "BaseUnitsTotalSubscription": "۸۰۰,۰۴۰,۰۸۰",
+        "SuperUnitsCancelNAV": "۲۱,۶۰۸",
+        "SuperUnitsSubscriptionNAV": "۲۱,۷۳۳",
+        "SuperUnitsTotalSubscription": "۷۰۰,۳۰۰,۰۰۰",
+        "SuperUnitsTotalNetAssetValue": "۱۵,۱۳۲,۰۸۲,۴۰۰,۰۰۰",
         "PublishDate": "۱۴۰۱/۱۰/۲۱ ۱۵:۵۸:۱۴",
     }
     return json.dumps(json.dumps(record))
@@ -177,9 +193,9 @@ def test_tadbir_quote(land):
         (C.TADBIR_MULTI, "http://m.ir/", "3", "live_navps", 1, tadbir_quote(publishDate="۱۴۰۲/۰۸/۲۲ ")),
     )
     first, second = quotes.tadbir_quotes(rows, strict=True).orderBy("url").collect()
-    assert (first["creation"], first["redemption"], first["nominal"]) == (16513, 16411, 16411)
-    assert first["totalNetAssetValue"] == 5286175291921
-    assert first["maxUnit"] == "678,130,772" and first["navDate"] == "1402/08/30"
+    assert (first["creation"], first["redemption"], first["nominal"]) == (20417, 20305, 20305)
+    assert first["totalNetAssetValue"] == 4100250750125
+    assert first["maxUnit"] == "500,250,125" and first["navDate"] == "1402/08/30"
     assert first["date"] == datetime.datetime(2023, 11, 22, 15, 58, 12)
     assert second["date"] == datetime.datetime(2023, 11, 13)
     assert second["portfolio_id"] == "3"
@@ -221,13 +237,13 @@ def test_leveraged_quote_and_leverage(land):
         (C.TADBIR_LEVERAGED, "http://l.ir/", "", "asset_allocation", 1, percents),
     )
     quote = quotes.leveraged_quotes(rows, strict=True).first()
-    assert quote["BaseUnitsCancelNAV"] == 15430.82
-    assert (quote["creation"], quote["redemption"]) == (13472, 13324)
-    assert quote["SuperUnitsTotalSubscription"] == 1613800000
+    assert quote["BaseUnitsCancelNAV"] == 11250.75
+    assert (quote["creation"], quote["redemption"]) == (21733, 21608)
+    assert quote["SuperUnitsTotalSubscription"] == 700300000
     measured = allocation.leverage(rows).first()
     cash = 22.29 / 100 + 0.0 + 0.03 / 100
     assert measured["cash"] == cash
-    assert measured["leverage"] == (1 + 12889179596700 / 21501491365735) * (1 - cash)
+    assert measured["leverage"] == (1 + 9000450900300 / 15132082400000) * (1 - cash)
 
 
 def test_nothing_divides_by_zero(land):

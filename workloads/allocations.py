@@ -84,7 +84,7 @@ def order_allocations(t, broken: bool = False):
     if broken:
         body = F.when(F.col("o_orderkey") % 11 == 0, F.lit('{"oops')).otherwise(body)
     return landed(
-        t.spread("orders"),
+        t.orders,
         order_vendor(),
         F.lit("http://hot.example.ir/"),
         A.ENDPOINT,
@@ -215,7 +215,7 @@ def customer_allocation(key):
     """,
 )
 def leverage_leveraged(t):
-    customers = t.spread("customer")
+    customers = t.customer
     entry = F.struct(
         F.lit(C.TADBIR_CASH[0]).alias("x"), customer_allocation("c_custkey").alias("y")
     )
@@ -283,7 +283,7 @@ def state_page(key):
     """,
 )
 def leverage_state_blob(t):
-    customers = t.spread("customer")
+    customers = t.customer
     entry = F.struct(
         F.lit(C.MABNA_CASH[1]).alias("title"), customer_allocation("c_custkey").alias("percentage")
     )

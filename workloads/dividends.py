@@ -41,7 +41,7 @@ def report_pages(t):
             ]
         )
     return landed(
-        t.spread("orders"),
+        t.orders,
         C.TADBIR,
         site_url("fund", "o_custkey"),
         D.ENDPOINT,
@@ -173,7 +173,7 @@ def dividend_json(t):
         F.to_json(plain)
     )
     pages = landed(
-        t.spread("orders"),
+        t.orders,
         F.when(old, F.lit(C.RAYAN)).otherwise(F.lit(C.RAYAN2)),
         site_url("fund", "o_orderkey"),
         D.ENDPOINT,

@@ -49,7 +49,7 @@ def order_chart(t):
 
     first = F.when(key % 10 == 0, points(20, 3)).otherwise(points(20))
     return landed(
-        t.spread("orders"),
+        t.orders,
         F.when(key % 2 == 0, F.lit(C.TADBIR)).otherwise(F.lit(C.TADBIR_MULTI)),
         F.lit("http://sector.example.ir/"),
         N.CHART,
@@ -103,14 +103,11 @@ def uneven_series(t):
       SELECT event_id, i, CAST(ts AS DATE) + CAST(k AS INTEGER) AS d,
         (CAST(round(value * 100) AS BIGINT) + i * 10 + k) / 100.0 AS v
       FROM events, range(0, 6) s(i), range(0, 4) r(k) WHERE k <> i % 4
-    ),
-    s0 AS (SELECT event_id, d, v AS a FROM p WHERE i = 0), s1 AS (SELECT event_id, d, v AS b FROM p WHERE i = 1),
-    s2 AS (SELECT event_id, d, v AS c FROM p WHERE i = 2), s3 AS (SELECT event_id, d, v AS e FROM p WHERE i = 3),
-    s4 AS (SELECT event_id, d, v AS f FROM p WHERE i = 4), s5 AS (SELECT event_id, d, v AS g FROM p WHERE i = 5)
-    SELECT event_id, strftime(d, '%Y-%m-%d') AS day, a AS normal_creation, b AS normal_statistical,
-      c AS normal_redemption, e AS creation, f AS redemption, g AS normal
-    FROM s0 FULL JOIN s1 USING (event_id, d) FULL JOIN s2 USING (event_id, d)
-      FULL JOIN s3 USING (event_id, d) FULL JOIN s4 USING (event_id, d) FULL JOIN s5 USING (event_id, d)
+    )
+    SELECT event_id, strftime(d, '%Y-%m-%d') AS day, max(v) FILTER (i = 0) AS normal_creation,
+      max(v) FILTER (i = 1) AS normal_statistical, max(v) FILTER (i = 2) AS normal_redemption,
+      max(v) FILTER (i = 3) AS creation, max(v) FILTER (i = 4) AS redemption, max(v) FILTER (i = 5) AS normal
+    FROM p GROUP BY event_id, d
     """,
 )
 def nav_leveraged_full_join(t):
@@ -125,7 +122,7 @@ def nav_leveraged_full_join(t):
         bad = point(F.lit("no date"), F.lit(-2))
         series.append(F.array(*points, repeated, bad))
     rows = landed(
-        t.spread("events"),
+        t.events,
         C.TADBIR_LEVERAGED,
         F.lit("http://lever.example.ir/"),
         N.CHART,
@@ -164,7 +161,7 @@ _POSITIONAL_SQL = """
 
 def positional(t):
     return landed(
-        t.spread("orders"),
+        t.orders,
         F.when(F.col("o_orderstatus") == "P", F.lit(C.RAYAN)).otherwise(F.lit(C.RAYAN2)),
         F.lit("http://rayan.example.ir/"),
         N.CHART,
@@ -203,7 +200,7 @@ def nav_daily_arrays(t):
         F.lit("]]"),
     )
     rows = landed(
-        t.spread("orders"),
+        t.orders,
         C.RAYAN2,
         F.lit("http://rayan.example.ir/"),
         "nav_history",
@@ -261,7 +258,7 @@ def nav_report_21(t):
         .otherwise(html_table([head + middle + tail]))
     )
     pages = landed(
-        t.spread("lineitem"),
+        t.lineitem,
         C.TADBIR_LEVERAGED,
         F.lit("http://lever.example.ir/"),
         "nav_history",
@@ -309,7 +306,7 @@ def tehran_dates(t):
         (c + 1).alias("statistical_value"),
     )
     rows = landed(
-        t.spread("events"),
+        t.events,
         C.MABNA,
         F.lit("http://mabna.example.ir/"),
         N.CHART,
@@ -337,7 +334,7 @@ def tehran_dates(t):
 def assets_history(t):
     record = F.struct(iso_tehran(F.col("ts")).alias("date_time"), cents("value").alias("value"))
     rows = landed(
-        t.spread("events"),
+        t.events,
         C.MABNA,
         F.lit("http://mabna.example.ir/"),
         "assets_history",
@@ -369,7 +366,7 @@ def price_order(t):
         c.alias("v"),
     )
     rows = landed(
-        t.spread("orders"),
+        t.orders,
         C.RAYAN2,
         F.lit("http://rayan.example.ir/"),
         N.CHART,

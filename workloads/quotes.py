@@ -74,7 +74,7 @@ def live_quote_double_json(t):
         )
     )
     rows = landed(
-        t.spread("customer"),
+        t.customer,
         F.when(key % 2 == 0, F.lit(C.TADBIR)).otherwise(F.lit(C.TADBIR_MULTI)),
         F.lit("http://sector.example.ir/"),
         Q.ENDPOINT,
@@ -128,7 +128,7 @@ def leveraged_body(key: str, balance: str):
 )
 def live_quote_leveraged(t):
     rows = landed(
-        t.spread("supplier"),
+        t.supplier,
         C.TADBIR_LEVERAGED,
         site_url("lever", "s_suppkey"),
         Q.ENDPOINT,
@@ -218,7 +218,7 @@ def _common(quotes):
     _QUOTE_SQL.format(vendors="('RayanHamafza'), ('RayanHamafza2'), ('MabnaDP2')"),
 )
 def live_quote_json(t):
-    rows = three_vendor_quotes(t.spread("supplier"))
+    rows = three_vendor_quotes(t.supplier)
     return _common(Q.rayan_quotes(rows).unionByName(Q.mabna_quotes(rows)))
 
 
@@ -235,14 +235,14 @@ def live_quote_json(t):
 )
 def live_quote_all_vendors(t):
     leveraged = landed(
-        t.spread("supplier"),
+        t.supplier,
         C.TADBIR_LEVERAGED,
         site_url("lever", "s_suppkey"),
         Q.ENDPOINT,
         leveraged_body("s_suppkey", "s_acctbal"),
         portfolio_id=F.col("s_suppkey"),
     )
-    return _common(Q.live_quotes(three_vendor_quotes(t.spread("supplier")).unionByName(leveraged)))
+    return _common(Q.live_quotes(three_vendor_quotes(t.supplier).unionByName(leveraged)))
 
 
 @query(
@@ -262,7 +262,7 @@ def trials(t):
 def trial_responses(t):
     """Quotes of every customer's site as four vendors were asked for them; some are broken."""
     key = F.col("c_custkey")
-    tried = t.spread("customer").withColumn("vendor", F.explode(F.array(*[F.lit(v) for v in C.TRIAL_ORDER])))
+    tried = t.customer.withColumn("vendor", F.explode(F.array(*[F.lit(v) for v in C.TRIAL_ORDER])))
     vendor = F.col("vendor")
     broken = F.lit("<html>not found</html>")
     body = (
@@ -311,7 +311,7 @@ def event_quotes(t):
         F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+03:30")).alias("date_time"),
     )
     return landed(
-        t.spread("events"),
+        t.events,
         C.MABNA,
         site_url("user", "user_id"),
         Q.ENDPOINT,

@@ -23,16 +23,6 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table whose rows are costly to encode.
-
-        Small test files are read as one or a few partitions and would keep most cores idle;
-        only then are the rows dealt out. A table with a split per core is left as it is.
-        """
-        rows = getattr(self, name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
 
 def query(name: str, sql: str | None = None):
     """Register a function of the tables under ``name``, with its expected-result SQL."""

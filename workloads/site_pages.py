@@ -51,7 +51,7 @@ def marked_pages(t):
         .when(kind == 6, F.lit(C.MABNA_MARKER))
         .otherwise(F.lit(""))
     )
-    return t.spread("pages").select("page_id", F.concat("html", added).alias("html"))
+    return t.pages.select("page_id", F.concat("html", added).alias("html"))
 
 
 _KIND = """
@@ -111,9 +111,8 @@ def site_facts(t):
 @query(
     "versions_by_vendor",
     f"""
-    SELECT DISTINCT {_KIND} AS site_type,
-      CASE WHEN page_id % 8 IN (0, 1, 2) THEN '9.' || page_id END AS version
-    FROM pages WHERE page_id % 8 IN (0, 1, 2, 3, 5)
+    SELECT DISTINCT {_KIND} AS site_type, '9.' || page_id AS version
+    FROM pages WHERE page_id % 8 IN (0, 1, 2)
     """,
 )
 def versions_by_vendor(t):
@@ -159,7 +158,7 @@ def baskets(t):
 def record_pages(t):
     """Site records of three vendors for every customer."""
     key, name = F.col("c_custkey"), F.col("c_name")
-    customers = t.spread("customer")
+    customers = t.customer
     items = F.to_json(
         F.array(
             F.struct(
@@ -249,7 +248,7 @@ def short_name_join(t):
 def portal_pages(t):
     """Portal list and specifications of all parts; every seventh part has no instrument."""
     key = F.col("p_partkey")
-    rows = t.spread("part")
+    rows = t.part
     entry = F.struct(key.cast("string").alias("asset_id"), F.col("p_name").alias("name"))
     listed = F.to_json(F.struct(F.array(entry).alias("data")))
     names = F.array(
