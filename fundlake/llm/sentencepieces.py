@@ -45,6 +45,10 @@ class Pieces:
         self.bytes = {int(self.names[i][3:5], 16): i for i in special if model.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.special = special - set(self.byte_of)
+        self.spelled = [
+            bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.special else name.replace(MARK, " ").encode()
+            for i, name in enumerate(self.names)
+        ]
         self.longest = max(map(len, self.ids))
         self.words: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
@@ -126,6 +130,10 @@ class Pieces:
             if words:
                 words.append("\n")
             head, *rest = line.split(MARK)
+            if all(rest):  # single spaces only
+                words += [head] if head else []
+                words += [MARK + part for part in rest]
+                continue
             if head:
                 words.append(head)
             marks = ""
@@ -142,13 +150,7 @@ class Pieces:
         return b"".join(map(self.words.__getitem__, words))
 
     def decode(self, ids: list[int]) -> str:
-        out = bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                out.append(self.byte_of[i])
-            elif i not in self.special:
-                out += self.names[i].encode()
-        text = out.decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
