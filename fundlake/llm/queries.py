@@ -74,7 +74,7 @@ def _near(table):
 @query("op2_sentencepiece")
 def _sentencepiece(table):
     model = vocabulary("piece_bpe_32k.model")
-    found = decoded(encoded(table("documents"), model), model)
+    found = decoded(encoded(table("documents"), model), model, with_text=False)
     return found.select("doc_id", "n_tokens", "ids_crc32", "text_sha256")
 
 

@@ -16,8 +16,8 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
-from os.path import commonprefix
+from collections.abc import Iterator, Sequence
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from fundlake.llm.common import ROW, batched, rows_of, texts
 
 MARK = "▁"
+#: Score of what is no piece.
+NEVER = float("-inf")
 MOST_WORDS = 300_000
 #: Bytes of text whose words are collected before they are encoded.
 WINDOW_BYTES = 4 << 20
@@ -49,76 +51,105 @@ class Pieces:
             bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.special else name.replace(MARK, " ").encode()
             for i, name in enumerate(self.names)
         ]
-        self.longest = max(map(len, self.ids))
+        self.codes = {p: struct.pack("<I", i) for p, i in self.ids.items()}
+        self.byte_codes = {b: struct.pack("<I", i) for b, i in self.bytes.items()}
+        self.sizes = self.sizes_by_end()
         self.words: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
+    def sizes_by_end(self) -> dict[str, tuple[int, ...]]:
+        """Lengths, longest first, of the pieces that can end where three given characters end."""
+        found: dict[str, set[int]] = {}
+        for piece in self.ids:
+            if len(piece) > 2:
+                found.setdefault(piece[-3:], {1, 2}).add(len(piece))
+        return {end: tuple(sorted(sizes, reverse=True)) for end, sizes in found.items()}
+
     def merged(self, text: str) -> list[str]:
         """Segmentation by merging the best-scored neighbours, leftmost first."""
+        parts, _ = self.merge(text, 0)
+        return parts
+
+    def merge(self, text: str, wall: int) -> tuple[list[str], bool]:
+        """Parts after merging, and whether no merge crossed ``wall`` characters; a crossing ends it."""
         parts = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                score = self.score.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
-                return parts
+        gains = [self.score.get(a + b, NEVER) for a, b in pairwise(parts)]
+        while gains:
+            best = max(gains)
+            if best == NEVER:
+                break
+            at = gains.index(best)
+            if wall:
+                if at == wall - 1:
+                    return parts, False
+                wall -= at < wall
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del gains[at]
+            if at:
+                gains[at - 1] = self.score.get(parts[at - 1] + parts[at], NEVER)
+            if at < len(gains):
+                gains[at] = self.score.get(parts[at] + parts[at + 1], NEVER)
+        return parts, True
 
     def fits(self, left: str, right: str) -> bool:
+        """Whether two neighbours stay apart, each whole, if merged alone."""
         known = self.pairs.get((left, right))
         if known is None:
             if len(self.pairs) > MOST_WORDS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(left + right) == [left, right]
+            parts, apart = self.merge(left + right, len(left))
+            known = self.pairs[left, right] = apart and len(parts) == 2
         return known
 
     def learn(self, words: set[str]) -> None:
         """Ids of all words, in sorted order; states of common prefixes are used again."""
+        score, pairs, sizes, by_score = self.score, self.pairs, self.sizes, self.by_score
         before = ""
-        last = [0]  # length of the last piece of each prefix
+        last = [""]  # last piece of each prefix
         total = [0.0]  # score of each prefix
         for word in sorted(words):
-            shared = len(commonprefix((before, word)))
+            shared = 0
+            for known, letter in zip(before, word):
+                if known != letter:
+                    break
+                shared += 1
             before = word
             del last[shared + 1 :], total[shared + 1 :]
-            if not self.by_score and word.startswith(MARK * 2):
+            if not by_score and word.startswith(MARK * 2):
                 self.words[word] = self.packed(self.merged(word))  # pieces of marks have equal scores
-                before, last, total = "", [0], [0.0]
+                before, last, total = "", [""], [0.0]
                 continue
             for end in range(shared + 1, len(word) + 1):
-                self.extend(word, end, last, total)
+                best, chosen = NEVER, word[end - 1]
+                for size in sizes.get(word[end - 3 : end] if end > 2 else "", (2, 1)):
+                    if size > end:
+                        continue
+                    piece = word[end - size : end]
+                    if size > 1 and piece not in score:
+                        continue
+                    if by_score:
+                        value = total[end - size] + score.get(piece, -1e6)
+                        if value > best:
+                            best, chosen = value, piece
+                        continue
+                    left = last[end - size]
+                    if not left or pairs.get((left, piece)) or self.fits(left, piece):
+                        chosen = piece
+                        break
+                last.append(chosen)
+                if by_score:
+                    total.append(best)
             parts, end = [], len(word)
             while end:
-                parts.append(word[end - last[end] : end])
-                end -= last[end]
+                parts.append(last[end])
+                end -= len(last[end])
             self.words[word] = self.packed(parts[::-1])
 
-    def extend(self, word: str, end: int, last: list[int], total: list[float]) -> None:
-        best, length = None, 1
-        for size in range(min(end, self.longest), 0, -1):
-            piece = word[end - size : end]
-            score = self.score.get(piece)
-            if score is None and size > 1:
-                continue
-            start = end - size
-            if self.by_score:
-                value = total[start] + (score if score is not None else -1e6)
-                if best is None or value > best:
-                    best, length = value, size
-            elif not start or self.fits(word[start - last[start] : start], piece):
-                best, length = 0.0, size
-                break
-        last.append(length)
-        total.append(best or 0.0)
-
     def packed(self, parts: list[str]) -> bytes:
-        ids: list[int] = []
-        for part in parts:
-            found = self.ids.get(part)
-            ids += [found] if found is not None else [self.bytes[b] for b in part.encode()]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        try:
+            return b"".join(map(self.codes.__getitem__, parts))
+        except KeyError:  # a character without a piece becomes its bytes
+            return b"".join(self.codes.get(p) or b"".join(map(self.byte_codes.__getitem__, p.encode())) for p in parts)
 
     @staticmethod
     def split(text: str) -> list[str]:
@@ -149,7 +180,7 @@ class Pieces:
     def encode(self, words: list[str]) -> bytes:
         return b"".join(map(self.words.__getitem__, words))
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Sequence[int]) -> str:
         text = b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
@@ -172,7 +203,7 @@ def _encode(path: str, scores: bool):
         def flush(waiting):
             if len(model.words) > MOST_WORDS:
                 model.words.clear()
-            model.learn({w for _, _, words in waiting for w in set(words) if w not in model.words})
+            model.learn(set().union(*(words for _, _, words in waiting)).difference(model.words))
             for row, doc, words in waiting:
                 yield row, doc, model.encode(words)
 
@@ -197,11 +228,14 @@ def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     return texts(docs, id_col, text_col).mapInArrow(_encode(model, scores), kind)
 
 
-def decoded(ids: DataFrame, model: str) -> DataFrame:
-    """Counts, checksums and texts back from rows of ``encoded``: ``n_tokens, ids_crc32, text, text_sha256``."""
-    schema = pa.schema(
-        [(ROW, pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("text", pa.string()), ("text_sha256", pa.string())]
-    )
+def decoded(ids: DataFrame, model: str, with_text: bool = True) -> DataFrame:
+    """Counts, checksums and texts back from rows of ``encoded``: ``n_tokens, ids_crc32, text, text_sha256``.
+
+    All texts are decoded in full; ``with_text=False`` keeps them out of the result.
+    """
+    fields = [(ROW, pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
+    fields += [("text_sha256", pa.string())] + [("text", pa.string())] * with_text
+    schema = pa.schema(fields)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = pieces(model)
@@ -209,10 +243,12 @@ def decoded(ids: DataFrame, model: str) -> DataFrame:
         def rows():
             for row, doc, raw in rows_of(batches):
                 n = len(raw) // 4
-                text = own.decode(list(struct.unpack(f"<{n}I", raw)))
-                yield row, doc, n, zlib.crc32(raw), text, hashlib.sha256(text.encode()).hexdigest()
+                text = own.decode(struct.unpack(f"<{n}I", raw))
+                digests = row, doc, n, zlib.crc32(raw), hashlib.sha256(text.encode()).hexdigest()
+                yield (*digests, text) if with_text else digests
 
-        yield from batched(rows(), schema, weight=lambda r: len(r[4]))
+        yield from batched(rows(), schema, weight=(lambda r: len(r[5])) if with_text else None)
 
-    kind = f"{ROW} long, doc_id long, n_tokens long, ids_crc32 long, text string, text_sha256 string"
+    kind = f"{ROW} long, doc_id long, n_tokens long, ids_crc32 long, text_sha256 string"
+    kind += ", text string" * with_text
     return ids.select(ROW, "doc_id", "ids").mapInArrow(decode, kind)
