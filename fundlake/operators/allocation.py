@@ -67,21 +67,24 @@ def entries(site_type: Column, body: Column) -> Column:
     )
 
 
-def as_of(site_type: Column, body: Column) -> Column:
-    """Date that a wide allocation record carries."""
+def date_text(site_type: Column, body: Column) -> Column:
+    """Date that a wide allocation record carries, as it was sent."""
     record = from_json(body, "map<string, string>")
     value = F.coalesce(*[F.try_element_at(record, F.lit(name)) for name in _DATE_ITEMS])
-    return F.when(site_type.isin(*C.RAYAN_FAMILY), jalali.to_date(value, strict=False))
+    return F.when(site_type.isin(*C.RAYAN_FAMILY), value)
 
 
 def _parsed(responses: DataFrame) -> DataFrame:
+    """Entries and date; the date names its text many times, so the text has a step of its own."""
     site_type, body = F.col("site_type"), F.col("body")
-    return captured(responses, ENDPOINT).select(
+    read = captured(responses, ENDPOINT).select(
         *S.KEY,
         "fetched_at",
         entries(site_type, body).alias("entries"),
-        as_of(site_type, body).alias("as_of"),
+        date_text(site_type, body).alias("date_text"),
     )
+    as_of = jalali.to_date(F.col("date_text"), strict=False).alias("as_of")
+    return read.select(*S.KEY, "fetched_at", "entries", as_of)
 
 
 def allocation(responses: DataFrame) -> DataFrame:

@@ -89,3 +89,9 @@ def test_range_filter_does_not_repeat_the_parsing(landing):
     filters = [line for line in plan(rows).split("\n") if "Filter " in line]
     assert not any("regexp_extract_all" in line for line in filters)
     assert rows.filter(F.lit(True)).count() == 0
+
+
+@needs_data
+def test_allocation_date_does_not_repeat_parsing(spark):
+    text = QUERIES["allocation_long"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json") <= 5
