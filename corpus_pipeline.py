@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import ROW, numbered, prepared
+from fundlake.llm.common import ROW, fixed, prepared
 from fundlake.llm.exact import exact_groups
 from fundlake.llm.minhash import near_duplicates
 from fundlake.llm.packing import packed
@@ -30,20 +30,19 @@ def _only(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepared(spark)
-    docs = numbered(docs)
-    scores = toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _only(docs, scores.where("predicted = 0"))
+    scores = toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), carried=tuple(docs.columns))
+    return scores.where("predicted = 0").select("carried.*")
 
 
 def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepared(spark)
-    docs = numbered(docs)
+    docs = fixed(docs)
     return _only(docs, exact_groups(docs).where("kept"))
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepared(spark)
-    docs = numbered(docs)
+    docs = fixed(docs)
     return _only(docs, near_duplicates(docs, words=5, percent=80).where("kept"))
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlake.session import configure
+from fundlake.session import configure, stored
 
 #: Number of an input row. Ids may be null or repeat, so operators tell rows apart by this.
 ROW = "_row"
@@ -42,7 +42,8 @@ def ship(spark: SparkSession) -> None:
 def numbered(docs: DataFrame) -> DataFrame:
     """``docs`` with a row number; an existing one stays.
 
-    The number depends on the splits of the scan only, so two uses of one stored table agree.
+    For one pass over the rows. A second scan may be split otherwise, as by the cores present, and
+    then numbers anew: rows that are read more than once are numbered by ``fixed``.
     """
     ship(docs.sparkSession)
     if ROW in docs.columns:
@@ -50,6 +51,16 @@ def numbered(docs: DataFrame) -> DataFrame:
     return docs.withColumn(ROW, F.monotonically_increasing_id())
 
 
+def fixed(docs: DataFrame, *columns) -> DataFrame:
+    """Row number and ``columns`` (default: all), written once, so that every use reads the same numbers.
+
+    A table with row numbers was written with them and is not written again.
+    """
+    rows = numbered(docs)
+    rows = rows.select(ROW, *columns) if columns else rows
+    return rows if ROW in docs.columns else stored(rows, "rows", compression="zstd")
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Row number, id and the text as UTF-8 bytes (null: empty); all other columns go."""
     return numbered(docs).select(

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import ROW, numbered, rows_of, to_batch
+from fundlake.llm.common import ROW, fixed, rows_of, to_batch
 from fundlake.llm.components import components
 from fundlake.session import discard, stored
 
@@ -238,11 +238,8 @@ def near_duplicates(
     shingles. ``component_id`` is the smallest id reachable; nulls come last. Rows without words
     have empty sets and are alone. ``kept`` marks the row of the smallest id, of repeated ids the first.
     """
-    docs = numbered(docs)
     bands = bands_for(percent / 100)
-    rows = docs.select(
-        ROW, F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("data")
-    )
+    rows = fixed(docs, F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("data"))
     sketches = stored(rows.mapInArrow(_sketch(words, bands), _SKETCH_SQL), "sketches")
     # Equal sets are one node; a text that many rows repeat is banded once.
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", ROW)
@@ -256,6 +253,7 @@ def near_duplicates(
     inside = members.select("node").distinct()
     texts = rows.select(F.col(ROW).alias("node"), "data").join(inside, "node", "left_semi")
     sets = stored(texts.mapInArrow(_sets(words), "node long, shingles array<long>"), "sets")
+    discard(rows)
     tried = stored(members.where("node <> hub").select(F.col("node").alias("x"), F.col("hub").alias("y")).distinct(), "tried")
     links = stored(_confirmed(tried, sets, percent), "links")
     labels = components(links)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from fundlake.llm.common import ROW, numbered
+from fundlake.llm.common import ROW, fixed
 from fundlake.session import stored
 
 LENGTH = 50
@@ -377,8 +377,8 @@ def repeated_spans(
     larger than any other. Rows of one id never remove from each other. A text that copies that of
     a smaller id goes whole and is not compared further.
     """
-    rows = numbered(docs).select(
-        ROW,
+    rows = fixed(
+        docs,
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("data"),
         *([F.struct(*carried).alias("carried")] if carried else []),

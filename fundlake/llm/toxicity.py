@@ -15,8 +15,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from fundlake.llm.common import ROW, batched, numbered, rows_of
+from fundlake.llm.common import ROW, batched, numbered, rows_of, to_batch
 
 #: Bounds of the training samples; rows with the smallest hashed ids are taken.
 POSITIVES = 3000
@@ -146,8 +147,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     return fit([w for w, f in zip(texts, flags) if f], [w for w, f in zip(texts, flags) if not f], prior)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``_row, doc_id, held_out, score, predicted`` for every document.
+def toxicity(docs: DataFrame, labels: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``_row, doc_id, held_out, score, predicted`` for every document, and the struct ``carried`` of other columns.
 
     Null and empty texts get the score of a text without words. Ids may repeat or be null (never
     learnt from). Without labels every text is scored by the offset alone. Only the text is scored.
@@ -159,6 +160,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         (fold() == 0).alias("held_out"),
         F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("data"),
+        *([F.struct(*carried).alias("carried")] if carried else []),
     )
     schema = pa.schema(
         [(ROW, pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())]
@@ -167,11 +169,13 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weigher = model.weigher()
 
-        def scored():
-            for row, doc, held_out, data in rows_of(batches):
+        for batch in batches:
+            found = []
+            for row, doc, held_out, data in rows_of(iter([batch.select([ROW, "doc_id", "held_out", "data"])])):
                 value = model.score(data, weigher)
-                yield row, doc, held_out, value, int(value >= 0.5)
+                found.append((row, doc, held_out, value, int(value >= 0.5)))
+            scores = to_batch(found, schema)
+            yield scores.append_column("carried", batch.column("carried")) if carried else scores
 
-        yield from batched(scored(), schema)
-
-    return rows.mapInArrow(score, f"{ROW} long, doc_id long, held_out boolean, score double, predicted int")
+    kind = StructType.fromDDL(f"{ROW} long, doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(score, kind.add(rows.schema["carried"]) if carried else kind)

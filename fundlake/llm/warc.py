@@ -19,8 +19,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import ROW, batched, numbered, rows_of
-from fundlake.session import shared_folder, stored
+from fundlake.llm.common import ROW, batched, fixed, rows_of
+from fundlake.session import discard, shared_folder, stored
 
 LEAST_REVISIT_BYTES = 100
 #: Ranges nearer than this are read as one, up to the largest read.
@@ -145,13 +145,14 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     are rows of their own, each with its record number.
     """
     data = F.coalesce(F.col(body_col).cast("binary"), F.lit(b""))
-    rows = numbered(pages).select(
-        F.col(ROW).alias("record"),
+    pages = fixed(
+        pages,
         F.col(id_col).cast("long").alias("page_id"),
         F.col(url_col).cast("string").alias("url"),
         F.sha2(data, 256).alias("payload_digest"),
         data.alias("data"),
     )
+    rows = pages.withColumnRenamed(ROW, "record")
     order = F.struct(F.col("page_id").isNull().alias("unknown"), "page_id", "record")
     long_enough = F.octet_length("data") >= LEAST_REVISIT_BYTES
     firsts = (
@@ -168,7 +169,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     )
     store, path = fs.FileSystem.from_uri(folder)
     store.create_dir(path, recursive=True)
-    return stored(rows.mapInArrow(_write(folder), _INDEX_SQL), "warc-index")
+    index = stored(rows.mapInArrow(_write(folder), _INDEX_SQL), "warc-index")
+    discard(pages)
+    return index
 
 
 def coalesced(ranges: Iterator[tuple[int, int]]) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:

@@ -53,22 +53,24 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
+def stored(rows: DataFrame, name: str, **options: str) -> DataFrame:
     """Write rows to the shared folder and read them back.
 
     For small results of an expensive scan that several branches of a plan need: the scan
     runs once, and a lost executor costs no more than reading the table again.
     """
     path = shared_folder(rows.sparkSession, name)
-    rows.write.parquet(path)
+    rows.write.options(**options).parquet(path)
     table = rows.sparkSession.read.schema(rows.schema).parquet(path)
     table._stored_path = path
     return table
 
 
 def discard(*tables: DataFrame) -> None:
-    """Remove tables that ``stored`` wrote, once nothing reads them any more."""
+    """Remove tables that ``stored`` wrote, once nothing reads them any more; others are passed over."""
     for table in tables:
+        if not hasattr(table, "_stored_path"):
+            continue
         context = table.sparkSession.sparkContext
         path = context._jvm.org.apache.hadoop.fs.Path(table._stored_path)
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -613,3 +613,64 @@ def test_empty_tables(spark, empty, no_labels):
 @pytest.mark.parametrize("name", [n for n in queries() if n.startswith("op")])
 def test_queries_give_rows_for_all(spark, name):
     assert queries()[name](spark, FOLDER).count() > 0
+
+
+# --- rows whose order and splits differ from scan to scan ------------------------------------
+
+
+def restless(docs):
+    """The rows in another order each time they are read."""
+
+    def mix(batches):
+        import os
+        import random
+
+        rng = random.Random(os.urandom(8))
+        rows = [batch.slice(i, 1) for batch in batches for i in range(batch.num_rows)]
+        rng.shuffle(rows)
+        yield from rows
+
+    return docs.repartition(4).mapInArrow(mix, docs.schema)
+
+
+def plain(df):
+    return sorted((tuple(str(v) for v in r) for r in df.drop("_row").collect()))
+
+
+@pytest.fixture(scope="module")
+def short_texts(spark):
+    """Unique ids; near copies, shared passages, each text several rows apart from its copy."""
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(60)]
+    texts += [t + " more" for t in texts[:30]] + [texts[i][:150] + " " + texts[59 - i][:90] for i in range(30)] + texts[20:50]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def test_near_of_rows_read_in_another_order(short_texts):
+    from fundlake.llm.minhash import near_duplicates
+
+    wanted = plain(near_duplicates(short_texts, words=3, percent=85))
+    assert plain(near_duplicates(restless(short_texts), words=3, percent=85)) == wanted
+
+
+def test_spans_of_rows_read_in_another_order(short_texts):
+    from fundlake.llm.spans import repeated_spans
+
+    assert plain(repeated_spans(restless(short_texts))) == plain(repeated_spans(short_texts))
+
+
+def test_archive_of_rows_read_in_another_order(short_texts):
+    from fundlake.llm.warc import archive_report
+
+    pages = short_texts.select(F.col("doc_id").alias("page_id"), F.lit("http://a/").alias("url"), F.col("text").alias("html"))
+    assert plain(archive_report(restless(pages))) == plain(archive_report(pages))
+
+
+@needs_data
+@pytest.mark.parametrize("stage", ["toxicity", "exact_dedup", "near_dedup"])
+def test_stages_of_rows_read_in_another_order(spark, documents, stage):
+    import corpus_pipeline
+
+    build = dict(corpus_pipeline.STAGES)[stage]
+    wanted = plain(build(spark, documents, FOLDER))
+    assert plain(build(spark, restless(documents), FOLDER)) == wanted
