@@ -31,8 +31,9 @@ REMEMBERED_WORDS = 200_000
 #: Shingles hashed at a time.
 BLOCK = 1 << 18
 
-#: Shingles of a block of nodes, on average, and columns that are multiplied at a time.
+#: Shingles and nodes of a block, on average at most, and columns that are multiplied at a time.
 BLOCK_SHINGLES = 400_000
+BLOCK_NODES = 2048
 COLUMNS = 4096
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -218,7 +219,9 @@ def _merging(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: in
     near = near.select(F.col("node").alias("label"), F.col("label").alias("cluster"))
     nodes = placed.select("node", "label").distinct().join(near, "label")
     nodes = stored(nodes.join(sets, "node").select("node", "label", "cluster", "shingles"), "clusters")
-    blocks = nodes.groupBy("cluster").agg(F.ceil(F.sum(F.size("shingles")) / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    # Shingles bound the lists of a task, nodes its matrices of nodes by nodes.
+    most = F.greatest(F.sum(F.size("shingles")) / BLOCK_SHINGLES, F.count("*") / BLOCK_NODES)
+    blocks = nodes.groupBy("cluster").agg(F.ceil(most).cast("int").alias("blocks"))
     dealt = nodes.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(

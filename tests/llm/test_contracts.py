@@ -176,6 +176,31 @@ def test_near_edits_of_one_text_in_many_blocks(spark, monkeypatch):
     check_near(docs, 3, 85)
 
 
+def test_near_blocks_of_short_variants_are_bounded(spark, monkeypatch):
+    """Thousands of texts share most of a template but are not similar; a few are."""
+    from fundlake.llm import minhash
+
+    real = minhash._joining
+
+    def watched(percent):
+        joining = real(percent)
+
+        def watch(rows):
+            block = rows.column("block").to_pylist()
+            assert max(block.count(b) for b in set(block)) < 2500
+            return joining(rows)
+
+        return watch
+
+    monkeypatch.setattr(minhash, "_joining", watched)
+    words = [f"w{i}" for i in range(20)]
+    texts = [" ".join([*words[:10], f"x{i}", *words[10:]]) for i in range(5000)]
+    texts += [f"{t} end" for t in texts[::500]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, words=3, percent=85).collect()}
+    assert got == {i: i if i < 5000 else (i - 5000) * 500 for i in range(len(texts))}
+
+
 def test_values_are_minima_and_maxima_of_the_same_hashes():
     from fundlake.llm.minhash import BAND_ROWS, bands_for, signatures
 
