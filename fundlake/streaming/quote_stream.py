@@ -18,22 +18,26 @@ def read_landing_stream(spark: SparkSession, path: str, files_per_trigger: int =
 
 
 def quote_stream(responses: DataFrame, delay: str = "1 day", salts: int = 8) -> DataFrame:
-    """Parsed quotes, each ``(fund, date)`` once within the watermark.
+    """Parsed quotes, each ``(fund, date)`` once within ``delay`` of its first arrival.
+
+    The watermark is on the time at which a batch reads the quote. Vendor and capture times may
+    lie far back or in the future: with this watermark no quote is ever late, so none is dropped.
+    One that arrives again after ``delay`` is given again.
 
     State is bounded by the watermark and keyed by fund and time, so a fund that is polled
     very often still spreads over many state partitions. One quote that was captured very
     often is first reduced in ``salts`` groups by capture time, then across them.
     """
     parsed = keep_where(live_quotes(responses), F.col("date").isNotNull())
-    # A watermark needs an instant; the vendor's wall clock is read as one.
-    timed = parsed.withColumn("event_time", F.col("date").cast("timestamp"))
+    # The vendor's wall clock is read as an instant.
+    timed = parsed.withColumn("event_time", F.col("date").cast("timestamp")).withColumn("arrived", F.current_timestamp())
     salted = timed.withColumn("salt", F.pmod(F.xxhash64("fetched_at"), F.lit(salts)))
     quote = [*KEY, "event_time"]
     return (
-        salted.withWatermark("event_time", delay)
+        salted.withWatermark("arrived", delay)
         .dropDuplicatesWithinWatermark([*quote, "salt"])
         .dropDuplicatesWithinWatermark(quote)
-        .drop("salt")
+        .drop("salt", "arrived")
     )
 
 

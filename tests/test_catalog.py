@@ -177,6 +177,19 @@ def captures(spark, rows):
     return spark.createDataFrame(full, RESPONSES)
 
 
+def test_stream_keeps_quotes_far_behind_a_future_one(spark, tmp_path):
+    """One batch per file: a quote dated 2030, then a backfill of old quotes captured earlier."""
+    landing, at = str(tmp_path / "landing"), datetime.datetime(2024, 3, 1)
+    body = '{"data":{"redemption_price":1,"purchase_price":2,"date_time":"%s-01-01T10:00:00+03:30"}}'
+    for i, year in enumerate([2030, 2024, 2023, 2022, 2024]):
+        row = ("MabnaDP2", "http://a/", "1", "live_navps", 1, 200, at - datetime.timedelta(days=9 * i), body % year)
+        spark.createDataFrame([row], RESPONSES).coalesce(1).write.mode("append").parquet(landing)
+    stream = quote_stream(read_landing_stream(spark, landing, files_per_trigger=1))
+    write_quotes(stream, str(tmp_path / "quotes"), str(tmp_path / "state")).awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "quotes")).collect()
+    assert sorted(r["date"].year for r in rows) == [2022, 2023, 2024, 2030]
+
+
 def test_streams(spark, tmp_path):
     landing = str(tmp_path / "landing")
     repeated = [("http://hot/", 5, 100)] * 40

@@ -357,7 +357,7 @@ def landed_events(t) -> str:
 def streamed_quotes(t):
     """Landed events read back as a stream until used up; each quote once."""
     base = landed_events(t)
-    stream = quote_stream(read_landing_stream(t.spark, f"{base}/landing"), "400 days")
+    stream = quote_stream(read_landing_stream(t.spark, f"{base}/landing"))
     write_quotes(stream, f"{base}/quotes", f"{base}/checkpoint").awaitTermination()
     stored = t.spark.read.parquet(f"{base}/quotes")
     return stored.select("url", time_text("date").alias("quoted_at"))
