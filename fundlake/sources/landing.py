@@ -31,9 +31,10 @@ def latest_capture(
 ) -> DataFrame:
     """Keep the newest successful capture per fund, endpoint and page.
 
-    A failed fetch never hides an earlier answer. Of equal times one capture stays. The newest
-    one is found on the key columns alone, so no body crosses that shuffle; bodies move only in
-    the join back. ``endpoint`` and ``vendors`` limit what both scans read.
+    A failed fetch never hides an earlier answer. Of equal times one capture stays, chosen by the
+    hash of its answer. The responses are read once and not joined with themselves, so no fund is
+    lost where two reads differ; of a task's captures one body per key crosses the shuffle.
+    ``endpoint`` and ``vendors`` limit what the scan reads.
     """
     keys = [*KEY, "endpoint", "page"]
     rows = responses.filter(F.col("status").between(200, 299))
@@ -41,12 +42,9 @@ def latest_capture(
         rows = rows.filter(F.col("endpoint") == endpoint)
     if vendors is not None:
         rows = rows.filter(F.col("site_type").isin(*vendors))
-    rows = rows.withColumn("_capture", F.struct("fetched_at", F.monotonically_increasing_id().alias("n")))
-    newest = rows.groupBy(*keys).agg(F.max("_capture").alias("_newest"))
-    left, right = rows.alias("l"), newest.alias("r")
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    same.append(F.col("l._capture") == F.col("r._newest"))
-    return left.join(right, same, "left_semi").drop("_capture")
+    order = F.struct("fetched_at", F.xxhash64("status", "body"))
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), order).alias("_newest"))
+    return newest.select("_newest.*")
 
 
 def portfolio_or_default(portfolio_id: Column, site_type: Column) -> Column:

@@ -77,6 +77,17 @@ def test_a_failed_fetch_hides_no_answer(land):
     assert [r["body"] for r in kept] == ["one"]
 
 
+def test_no_fund_is_lost_where_captures_are_read_in_another_order(spark, land):
+    """Of equal times one capture stays, whatever the order of the rows in each read."""
+    from tests.llm.test_contracts import restless
+
+    rows = [(C.TADBIR, f"http://{i % 40}.ir/", None, "home", 1, f"body {i}") for i in range(200)]
+    kept = latest_capture(restless(land(*rows, *rows))).collect()
+    assert sorted(r["url"] for r in kept) == sorted({r[1] for r in rows})
+    again = latest_capture(restless(land(*rows, *rows))).collect()
+    assert sorted(r["body"] for r in again) == sorted(r["body"] for r in kept)
+
+
 def test_incomplete_reports(land, three_pages):
     gap = three_pages.filter(F.col("page") != 2)
     cut = three_pages.filter(F.col("page") < 3)
