@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fundlake.llm.common import prepared
 from fundlake.llm.exact import exact_groups
+from fundlake.llm.merkle import manifest
 from fundlake.llm.minhash import near_duplicates
 from fundlake.llm.packing import packed
 from fundlake.llm.quality import quality
@@ -146,3 +147,65 @@ def _sharding(table):
     return found.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query(
+    "op11_merkle_manifest",
+    """
+    WITH RECURSIVE docs AS (
+      SELECT doc_id, source, text, replace(text, chr(10), '') AS less, coalesce(octet_length(encode(doc_id::VARCHAR))::VARCHAR || ':' || doc_id::VARCHAR, '-')
+        || coalesce(octet_length(encode(source))::VARCHAR || ':' || source, '-') || coalesce(octet_length(encode(lang))::VARCHAR || ':' || lang, '-')
+        || coalesce(octet_length(encode(n_chars::VARCHAR))::VARCHAR || ':' || n_chars::VARCHAR, '-') AS head,
+        list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length(doc_id::VARCHAR) + 1),
+          lambda i: [ascii((doc_id::VARCHAR)[i])::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+          lambda c, e: xor(xor(c, e) >> 1, 3988292384 * (xor(c, e) & 1))) AS crc
+      FROM documents),
+    leaves AS (
+      SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS slot,
+        sha256(head || coalesce(octet_length(encode(text))::VARCHAR || ':' || text, '-')) AS leaf,
+        CASE WHEN crc & 1 = 1 THEN sha256(head || coalesce(octet_length(encode(less))::VARCHAR || ':' || less, '-'))
+          ELSE sha256(head || coalesce(octet_length(encode(text))::VARCHAR || ':' || text, '-')) END AS altered
+      FROM docs),
+    nodes AS (
+      SELECT source, 0 AS level, slot, leaf AS h, count(*) OVER (PARTITION BY source) AS n FROM leaves
+      UNION ALL
+      SELECT source, level + 1, slot // 3, sha256(string_agg(h, '' ORDER BY slot)), (max(n) + 2) // 3
+      FROM nodes WHERE n > 1 GROUP BY source, level, slot // 3),
+    subroots AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS slot FROM nodes WHERE n = 1),
+    upper_nodes AS (
+      SELECT 0 AS level, slot, subroot AS h, count(*) OVER () AS n FROM subroots
+      UNION ALL
+      SELECT level + 1, slot // 3, sha256(string_agg(h, '' ORDER BY slot)), (max(n) + 2) // 3
+      FROM upper_nodes WHERE n > 1 GROUP BY level, slot // 3),
+    lower_fold AS (
+      SELECT doc_id, source, leaf, 0 AS level, slot, altered AS h, '' AS proof FROM leaves
+      UNION ALL
+      SELECT f.doc_id, f.source, f.leaf, f.level + 1, f.slot // 3,
+        sha256(string_agg(CASE WHEN t.slot = f.slot THEN f.h ELSE t.h END, '' ORDER BY t.slot)),
+        f.proof || coalesce(string_agg(CASE WHEN t.slot <> f.slot THEN t.h END, '' ORDER BY t.slot), '')
+      FROM lower_fold f JOIN nodes t ON t.source IS NOT DISTINCT FROM f.source AND t.level = f.level AND t.slot // 3 = f.slot // 3
+      WHERE t.n > 1 GROUP BY f.doc_id, f.source, f.leaf, f.level, f.slot, f.h, f.proof),
+    upper_fold AS (
+      SELECT f.doc_id, f.source, f.leaf, s.subroot, 0 AS level, s.slot, f.h, f.proof
+      FROM (SELECT *, max(level) OVER (PARTITION BY doc_id) AS last FROM lower_fold) f
+      JOIN subroots s ON s.source IS NOT DISTINCT FROM f.source WHERE f.level = f.last
+      UNION ALL
+      SELECT f.doc_id, f.source, f.leaf, f.subroot, f.level + 1, f.slot // 3,
+        sha256(string_agg(CASE WHEN t.slot = f.slot THEN f.h ELSE t.h END, '' ORDER BY t.slot)),
+        f.proof || coalesce(string_agg(CASE WHEN t.slot <> f.slot THEN t.h END, '' ORDER BY t.slot), '')
+      FROM upper_fold f JOIN upper_nodes t ON t.level = f.level AND t.slot // 3 = f.slot // 3
+      WHERE t.n > 1 GROUP BY f.doc_id, f.source, f.leaf, f.subroot, f.level, f.slot, f.h, f.proof)
+    SELECT f.doc_id, f.leaf, f.subroot, r.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = r.h AS verified,
+      f.source, l.slot
+    FROM (SELECT *, max(level) OVER (PARTITION BY doc_id) AS last FROM upper_fold) f
+    JOIN (SELECT h FROM upper_nodes WHERE n = 1) r ON true JOIN leaves l ON l.doc_id = f.doc_id WHERE f.level = f.last
+    """,
+)
+def _manifest(table):
+    docs = table("documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    found = manifest(docs, altered={"text": F.replace("text", F.lit("\n"), F.lit(""))}, where=tampered)
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified",
+        F.col("group").alias("source"), "slot",
+    )
