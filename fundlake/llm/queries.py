@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.llm.common import prepared
+from fundlake.llm.divergence import audit
 from fundlake.llm.exact import exact_groups
 from fundlake.llm.merkle import manifest
 from fundlake.llm.minhash import near_duplicates
@@ -209,3 +210,41 @@ def _manifest(table):
         F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified",
         F.col("group").alias("source"), "slot",
     )
+
+
+_SHARE = "1 + (1000000000::HUGEINT * ({} + 2)) // ({} + 2 * v)"
+
+
+@query(
+    "op13_source_divergence",
+    rf"""
+    WITH d AS (
+      SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+      FROM documents),
+    groups AS (SELECT DISTINCT lang, source FROM d),
+    t AS (SELECT k, lang, source, unnest(w) AS word FROM d),
+    kept AS (SELECT lang, word, count(*) AS c FROM t GROUP BY lang, word HAVING count(DISTINCT k) >= 10),
+    langs AS (SELECT lang, sum(c) AS n, count(*) AS v FROM kept GROUP BY lang),
+    counts AS (SELECT lang, source, word, count(*) AS c FROM t JOIN kept USING (lang, word) GROUP BY lang, source, word),
+    sizes AS (SELECT g.lang, g.source, coalesce(sum(c), 0) AS n FROM groups g LEFT JOIN counts USING (lang, source) GROUP BY g.lang, g.source),
+    shares AS (
+      SELECT g.lang, g.source, k.word, coalesce(x.c, 0) AS c,
+        {_SHARE.format("coalesce(x.c, 0)", "g.n")} AS p, {_SHARE.format("k.c", "l.n")} AS q
+      FROM sizes g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts x USING (lang, source, word)),
+    found AS (
+      SELECT lang, source, 'term' AS part, word AS item, (p - q) * (p - q) // (p + q) AS value FROM shares WHERE c > 0 AND p > q
+      UNION ALL
+      SELECT a.lang, a.source, 'pair', b.source, coalesce(x.value, 0) FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN (
+        SELECT a.lang, a.source, b.source AS other, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.word = b.word AND a.source <> b.source
+        GROUP BY a.lang, a.source, b.source) x ON x.lang = a.lang AND x.source = a.source AND x.other = b.source)
+    SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM found)
+    WHERE part = 'pair' OR rank <= 10
+    """,
+)
+def _divergence(table):
+    return audit(table("documents"))
