@@ -13,6 +13,7 @@ from fundlake.llm.exact import exact_groups
 from fundlake.llm.merkle import manifest
 from fundlake.llm.minhash import near_duplicates
 from fundlake.llm.packing import packed
+from fundlake.llm.patterns import pattern_packed
 from fundlake.llm.quality import quality
 from fundlake.llm.sentencepieces import decoded, encoded
 from fundlake.llm.shards import sharded
@@ -212,6 +213,11 @@ def _manifest(table):
     )
 
 
+@query("op12_pattern_packing")
+def _pattern_packing(table):
+    return pattern_packed(table("documents"), vocabulary("byte_bpe_50k.json"))
+
+
 _SHARE = "1 + (1000000000::HUGEINT * ({} + 2)) // ({} + 2 * v)"
 
 
