@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,9 +64,26 @@ def stored(rows: DataFrame, name: str, **options: str) -> DataFrame:
     rows.write.options(**options).parquet(path)
     table = rows.sparkSession.read.schema(rows.schema).parquet(path)
     table._stored_path = path
+    for tables in _NOTED:
+        tables.append(table)
     return table
 
 
+#: Lists of the ``noted`` blocks that are open.
+_NOTED: list[list[DataFrame]] = []
+
+
+@contextmanager
+def noted():
+    """The tables that ``stored`` writes inside the block, for the caller to ``discard`` when their readers are done."""
+    tables: list[DataFrame] = []
+    _NOTED.append(tables)
+    try:
+        yield tables
+    finally:
+        _NOTED[:] = [t for t in _NOTED if t is not tables]
+
+
 def discard(*tables: DataFrame) -> None:
     """Remove tables that ``stored`` wrote, once nothing reads them any more; others are passed over."""
     for table in tables:
