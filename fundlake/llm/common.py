@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -15,6 +16,8 @@ from fundlake.session import configure, stored
 
 #: Number of an input row. Ids may be null or repeat, so operators tell rows apart by this.
 ROW = "_row"
+#: Marks numbers given here; an input column that happens to have the name is no row number.
+_MARK = {"numbered": uuid.uuid4().hex}
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -39,16 +42,20 @@ def ship(spark: SparkSession) -> None:
     context._fundlake_shipped = True
 
 
+def has_numbers(docs: DataFrame) -> bool:
+    return any(f.name == ROW and f.metadata == _MARK for f in docs.schema)
+
+
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a row number; an existing one stays.
+    """``docs`` with a row number in place of any other column of that name; a number given before stays.
 
     For one pass over the rows. A second scan may be split otherwise, as by the cores present, and
     then numbers anew: rows that are read more than once are numbered by ``fixed``.
     """
     ship(docs.sparkSession)
-    if ROW in docs.columns:
+    if has_numbers(docs):
         return docs
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    return docs.withColumn(ROW, F.monotonically_increasing_id()).withMetadata(ROW, _MARK)
 
 
 def fixed(docs: DataFrame, *columns) -> DataFrame:
@@ -58,7 +65,7 @@ def fixed(docs: DataFrame, *columns) -> DataFrame:
     """
     rows = numbered(docs)
     rows = rows.select(ROW, *columns) if columns else rows
-    return rows if ROW in docs.columns else stored(rows, "rows", compression="zstd")
+    return rows if has_numbers(docs) else stored(rows, "rows", compression="zstd")
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

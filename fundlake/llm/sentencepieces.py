@@ -33,29 +33,38 @@ WINDOW_BYTES = 4 << 20
 
 
 class Pieces:
-    """Pieces of a model file, and the ids of words met so far (bounded)."""
-
-    def __init__(self, path: str, scores: bool = False):
-        from sentencepiece import SentencePieceProcessor
-
-        model = SentencePieceProcessor(model_file=path)
-        self.by_score = scores
-        self.names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
-        special = {i for i in range(len(self.names)) if model.is_control(i) or model.is_unknown(i) or model.is_byte(i)}
-        self.ids = {p: i for i, p in enumerate(self.names) if i not in special}
-        self.score = {p: model.get_score(i) for p, i in self.ids.items()}
-        self.bytes = {int(self.names[i][3:5], 16): i for i in special if model.is_byte(i)}
-        self.byte_of = {i: b for b, i in self.bytes.items()}
-        self.special = special - set(self.byte_of)
+    """A table of pieces, and the ids of words met so far (bounded)."""
+
+    def __init__(self, names: list[str], scores: list[float], special: set[int], byte_of: dict[int, int], by_score: bool = False):
+        self.by_score = by_score
+        self.names = names
+        self.special = special
+        self.byte_of = byte_of
+        self.bytes = {b: i for i, b in byte_of.items()}
+        self.ids = {p: i for i, p in enumerate(names) if i not in special and i not in byte_of}
+        self.score = {p: scores[i] for p, i in self.ids.items()}
         self.spelled = [
-            bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.special else name.replace(MARK, " ").encode()
-            for i, name in enumerate(self.names)
+            bytes([byte_of[i]]) if i in byte_of else b"" if i in special else name.replace(MARK, " ").encode()
+            for i, name in enumerate(names)
         ]
         self.codes = {p: struct.pack("<I", i) for p, i in self.ids.items()}
         self.byte_codes = {b: struct.pack("<I", i) for b, i in self.bytes.items()}
         self.sizes = self.sizes_by_end()
         self.words: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.longest = 0 if by_score else self.longest_run()
+
+    @classmethod
+    def read(cls, path: str, by_score: bool = False) -> Pieces:
+        """The pieces of a model file."""
+        from sentencepiece import SentencePieceProcessor
+
+        model = SentencePieceProcessor(model_file=path)
+        numbers = range(model.get_piece_size())
+        names = [model.id_to_piece(i) for i in numbers]
+        byte_of = {i: int(names[i][3:5], 16) for i in numbers if model.is_byte(i)}
+        special = {i for i in numbers if model.is_control(i) or model.is_unknown(i)}
+        return cls(names, [model.get_score(i) for i in numbers], special, byte_of, by_score)
 
     def sizes_by_end(self) -> dict[str, tuple[int, ...]]:
         """Lengths, longest first, of the pieces that can end where three given characters end."""
@@ -101,8 +110,38 @@ class Pieces:
             known = self.pairs[left, right] = apart and len(parts) == 2
         return known
 
+    def longest_run(self) -> int:
+        """Length of the longest piece of marks if runs of marks can be counted, else 0.
+
+        They can if such pieces have one score, below all others, so that they merge last and from
+        the left; if marks fill the longest one; and if no other piece begins with two marks.
+        """
+        runs = {len(p): s for p, s in self.score.items() if p and not p.strip(MARK)}
+        longest = max(runs, default=0)
+        lowest = {s for n, s in runs.items() if n > 1}
+        plain = all(p.strip(MARK) == "" or not p.startswith(MARK * 2) for p in self.score)
+        below = all(s > min(lowest, default=0) for p, s in self.score.items() if p.strip(MARK))
+        whole = longest > 1 and self.merged(MARK * longest) == [MARK * longest]
+        return longest if len(lowest) == 1 and plain and below and whole else 0
+
+    def run_of_marks(self, n: int) -> bytes:
+        """The leftmost marks merge first: whole longest pieces, then what the rest merges to."""
+        whole, rest = divmod(n, self.longest)
+        return self.codes[MARK * self.longest] * whole + self.packed(self.merged(MARK * rest))
+
     def learn(self, words: set[str]) -> None:
-        """Ids of all words, in sorted order; states of common prefixes are used again."""
+        """Ids of all words; a run of marks is counted, the rest of its word keeps the last mark."""
+        runs = {w for w in words if self.longest and not self.by_score and w.startswith(MARK * 2)}
+        self.extend((words - runs) | {MARK + w.lstrip(MARK) for w in runs if w.strip(MARK)}.difference(self.words))
+        for word in runs:
+            rest = word.lstrip(MARK)
+            n = len(word) - len(rest)
+            tail = self.words[MARK + rest] if rest else self.codes[MARK]
+            lone = tail.startswith(self.codes[MARK])  # the last mark merges with marks, not with letters
+            self.words[word] = self.run_of_marks(n) + tail[4:] if lone else self.run_of_marks(n - 1) + tail
+
+    def extend(self, words: set[str]) -> None:
+        """Ids of words in sorted order; states of common prefixes are used again."""
         score, pairs, sizes, by_score = self.score, self.pairs, self.sizes, self.by_score
         before = ""
         last = [""]  # last piece of each prefix
@@ -190,7 +229,7 @@ _LOADED: dict[tuple[str, bool], Pieces] = {}
 
 def pieces(path: str, scores: bool = False) -> Pieces:
     if (path, scores) not in _LOADED:
-        _LOADED[path, scores] = Pieces(path, scores)
+        _LOADED[path, scores] = Pieces.read(path, scores)
     return _LOADED[path, scores]
 
 

@@ -22,12 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from fundlake.llm.common import ROW, fixed
+from fundlake.llm.common import ROW, numbered
 from fundlake.session import stored
 
 LENGTH = 50
@@ -96,14 +95,18 @@ def unpack(raw: bytes) -> np.ndarray:
 
 
 class Chunk:
-    """The texts of one chunk in row order, without those wholly copied from a smaller id."""
-
-    def __init__(self, texts: pa.Table, copies: set[int]):
-        rows = sorted(zip(*(texts.column(c).to_pylist() for c in (ROW, "doc_id", "data"))), key=lambda r: r[0])
-        self.rows = rows
-        self.copies = copies
-        own = [r for r in rows if r[0] not in copies and len(r[2]) >= LENGTH]
-        self.place = {r[0]: i for i, r in enumerate(own)}
+    """The texts of one chunk, without those wholly copied from a smaller id.
+
+    A row is known by its id and text: rows alike in both have the same fate.
+    """
+
+    def __init__(self, texts: pa.Table, copies: set[tuple[int | None, bytes]]):
+        self.rows = list(zip(*(texts.column(c).to_pylist() for c in (ROW, "doc_id", "data"))))
+        ids = {doc for doc, _ in copies}
+        self.copied = [doc in ids and (doc, hashlib.sha256(data).digest()) in copies for _, doc, data in self.rows]
+        at = [i for i, r in enumerate(self.rows) if not self.copied[i] and len(r[2]) >= LENGTH]
+        own = [self.rows[i] for i in at]
+        self.place = {i: k for k, i in enumerate(at)}
         lengths = np.array([len(r[2]) for r in own], np.int64)
         self.starts = np.cumsum(lengths) - lengths
         self.data = np.frombuffer(b"".join(r[2] for r in own), np.uint8)
@@ -208,8 +211,8 @@ def _bits(flags: np.ndarray) -> bytes:
     return len(flags).to_bytes(8, "little") + np.packbits(flags).tobytes()
 
 
-def _copies(back: pa.Table) -> set[int]:
-    return {b for k, b in zip(back.column("kind").to_pylist(), back.column("bucket").to_pylist()) if k == 0}
+def _copies(back: pa.Table) -> set[tuple[int | None, bytes]]:
+    return {(b, f) for k, b, f in zip(*(back.column(c).to_pylist() for c in ("kind", "bucket", "flags"))) if k == 0}
 
 
 def _number(texts: pa.Table) -> int:
@@ -339,13 +342,13 @@ def _remove(bits: int, with_text: bool):
         np.subtract.at(edge, again + LENGTH, 1)
         gone = np.cumsum(edge[:-1]) > 0
         rows = []
-        for row, doc, data in chunk.rows:
+        for i, (row, doc, data) in enumerate(chunk.rows):
             n = len(data)
             starts, ends = [], []
-            if row in chunk.copies and n >= LENGTH:
+            if chunk.copied[i]:
                 starts, ends = [0], [n]
-            elif row in chunk.place:
-                first = int(chunk.starts[chunk.place[row]])
+            elif i in chunk.place:
+                first = int(chunk.starts[chunk.place[i]])
                 edges = np.flatnonzero(np.diff(gone[first : first + n].astype(np.int8), prepend=0, append=0))
                 starts, ends = edges[::2].tolist(), edges[1::2].tolist()
             left, last = [], 0
@@ -358,10 +361,7 @@ def _remove(bits: int, with_text: bool):
                  kept.decode("utf-8", "ignore") if with_text else None)
             )
         out = _table(rows, _RESULT)
-        if "carried" in texts.column_names:  # rows are in row order
-            order = pc.sort_indices(texts.column(ROW))
-            out = out.append_column("carried", texts.column("carried").take(order))
-        return out
+        return out.append_column("carried", texts.column("carried")) if "carried" in texts.column_names else out
 
     return remove
 
@@ -375,34 +375,44 @@ def repeated_spans(
 
     Texts are UTF-8 bytes, null ones empty; texts below 50 bytes keep all. A null id counts as
     larger than any other. Rows of one id never remove from each other. A text that copies that of
-    a smaller id goes whole and is not compared further.
+    a smaller id goes whole and is not compared further. Very long texts are a chunk of their own
+    size. Other columns are not read, whatever their names. An empty table gives no rows. Rows
+    alike in both id and text, if of 50 bytes or more, are worked on in one chunk.
     """
-    rows = fixed(
-        docs,
+    if carried:  # before a column of theirs gives way to the row number
+        docs = docs.withColumn("carried", F.struct(*carried))
+    rows = numbered(docs).select(
+        ROW,
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("data"),
-        *([F.struct(*carried).alias("carried")] if carried else []),
+        *(["carried"] if carried else []),
     )
     kind = StructType.fromDDL(_RESULT_SQL)
     kind = kind.add(rows.schema["carried"]) if carried else kind
     spark = docs.sparkSession
-    sizes = stored(rows.select(ROW, "doc_id", F.octet_length("data").cast("long").alias("size"), F.sha2("data", 256).alias("text")), "sizes")
+    # No use of these texts depends on row numbers, which another scan may deal out anew.
+    facts = ("doc_id", F.octet_length("data").cast("long").alias("size"), F.unhex(F.sha2("data", 256)).alias("text"))
+    sizes = stored(rows.select(*facts), "sizes")
     total = sizes.agg(F.sum("size")).first()[0] or 0
     chunks = max(1, -(-total // CHUNK_BYTES))
     samples = max(2, total * len(COVER) // PERIOD)
     bits = min(64, samples.bit_length() + SPARE_BITS)
     bucket_bits = max(4, (samples // BUCKET_SUFFIXES).bit_length())
-    number = F.pmod(F.xxhash64(F.col(ROW)), F.lit(chunks)).alias("chunk")
+    # Short rows are compared with none and lie anywhere, the others where their id and text say.
+    short = F.octet_length("data") < LENGTH
+    number = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk")
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id")
     firsts = sizes.where(F.col("size") >= LENGTH).groupBy("text").agg(F.min(order).alias("first"), F.count("*").alias("n"))
     copies = sizes.join(firsts.where("n > 1"), "text").where(
         (F.col("first.unknown") != F.col("doc_id").isNull()) | (F.col("first.doc_id") < F.col("doc_id"))
     )
-    # kind 0: rows to leave out, in place of a bucket.
-    copies = stored(copies.select(number, F.lit(0).alias("kind"), F.col(ROW).alias("bucket"), F.lit(None).cast("binary").alias("flags")), "copies")
+    # kind 0: rows to leave out, by id and text digest in place of bucket and flags.
+    copies = copies.select(number, F.lit(0).alias("kind"), F.col("doc_id").alias("bucket"), F.col("text").alias("flags"))
+    copies = stored(copies.distinct(), "copies")
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = rows.withColumn("chunk", number).repartition(tasks, "chunk").groupBy("chunk")
+    texts = rows.withColumn("text", F.unhex(F.sha2("data", 256))).withColumn("chunk", F.when(short, F.pmod(F.col(ROW), F.lit(chunks))).otherwise(number)).drop("text")
+    texts = texts.repartition(tasks, "chunk").groupBy("chunk")
     sample = texts.cogroup(copies.groupBy("chunk")).applyInArrow(_send_sample(bits, bucket_bits), _SENT_SQL)
     shared = sample.groupBy("bucket").applyInArrow(_rank_sample, _BACK_SQL)
     told = copies.union(shared)

@@ -123,24 +123,28 @@ def fold(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS, F.lit(0))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
+def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     """Fit on labels and texts of the learning folds only.
 
-    ``POSITIVES`` and ``UNLABELLED`` bound the samples; the class prior counts all labels there.
+    ``positives`` and ``unlabelled`` bound the texts of the sample, whatever ids repeat: an id
+    gives one text, the one with the smallest hash. The class prior counts all labels there.
     """
     known = labels.where("doc_id is not null and toxic is not null").where(fold() != 0)
     marks = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = marks.agg(F.sum("toxic").alias("toxic"), F.count("*").alias("all")).first()
     prior = min(0.5, max(0.001, (counts["toxic"] or 0) / counts["all"])) if counts["all"] else 0.05
     order = F.xxhash64("doc_id")
-    positive = marks.where("toxic = 1").orderBy(order, "doc_id").limit(POSITIVES).select("doc_id", F.lit(True).alias("positive"))
+    positive = marks.where("toxic = 1").orderBy(order, "doc_id").limit(positives).select("doc_id", F.lit(True).alias("positive"))
     others = (
-        docs.where("doc_id is not null").where(fold() != 0).select(F.col("doc_id").cast("long"))
-        .orderBy(order, "doc_id").limit(UNLABELLED).distinct().select("doc_id", F.lit(False).alias("positive"))
+        docs.where("doc_id is not null").where(fold() != 0).select(F.col("doc_id").cast("long")).distinct()
+        .orderBy(order, "doc_id").limit(unlabelled).select("doc_id", F.lit(False).alias("positive"))
     )
     wanted = positive.union(others)
     sample = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("data"))
-    sample = sample.join(F.broadcast(wanted), "doc_id").select("positive", "data")  # POSITIVES + UNLABELLED ids at most
+    ids = wanted.select("doc_id").distinct()
+    sample = sample.join(F.broadcast(ids), "doc_id", "left_semi")  # positives + unlabelled ids at most
+    sample = sample.groupBy("doc_id").agg(F.min_by("data", F.struct(F.xxhash64("data"), "data")).alias("data"))
+    sample = sample.join(F.broadcast(wanted), "doc_id").select("positive", "data")
     found = sample.mapInArrow(_hashes, "positive boolean, words array<long>").toArrow()
     flags = found["positive"].to_numpy()
     texts = [np.asarray(w.values.to_numpy(zero_copy_only=False), np.int64).view(np.uint64) for w in found["words"]]
@@ -153,6 +157,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, carried: tuple[str, ...] = ())
     Null and empty texts get the score of a text without words. Ids may repeat or be null (never
     learnt from). Without labels every text is scored by the offset alone. Only the text is scored.
     """
+    if carried:  # before a column of theirs gives way to the row number
+        docs = docs.withColumn("carried", F.struct(*carried))
     docs = numbered(docs)
     model = train(docs, labels)
     rows = docs.select(
@@ -160,7 +166,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, carried: tuple[str, ...] = ())
         F.col("doc_id").cast("long").alias("doc_id"),
         (fold() == 0).alias("held_out"),
         F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("data"),
-        *([F.struct(*carried).alias("carried")] if carried else []),
+        *(["carried"] if carried else []),
     )
     schema = pa.schema(
         [(ROW, pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())]

@@ -571,12 +571,10 @@ def test_pieces_documents(documents):
 
 
 def test_scores_are_maximised_over_shared_prefixes():
-    from fundlake.llm.queries import vocabulary
     from fundlake.llm.sentencepieces import Pieces
 
-    model = Pieces(vocabulary("piece_bpe_32k.model"), scores=True)
-    model.score = {p: -rank for rank, p in enumerate(["a", "b", "ab", "ba", "aba", "bb", "abb"], 1)}
-    model.ids = {p: i for i, p in enumerate(model.score)}
+    pieces = ["a", "b", "ab", "ba", "aba", "bb", "abb"]
+    model = Pieces(pieces, [-rank for rank in range(1, len(pieces) + 1)], set(), {}, by_score=True)
     words = {"".join(c) for n in range(1, 7) for c in __import__("itertools").product("ab", repeat=n)}
     model.learn(words)
 
@@ -589,6 +587,27 @@ def test_scores_are_maximised_over_shared_prefixes():
         assert "".join(parts) == word and sum(model.score[p] for p in parts) == best(word)
 
 
+def test_long_runs_of_blanks_take_linear_time():
+    import time
+
+    from sentencepiece import SentencePieceProcessor
+
+    from fundlake.llm.queries import vocabulary
+    from fundlake.llm.sentencepieces import Pieces
+
+    path = vocabulary("piece_bpe_32k.model")
+    model, reference = Pieces.read(path), SentencePieceProcessor(model_file=path)
+    texts = [" " * n + rest for n in (*range(70), 1000) for rest in ("", "hello", "日本", "▁x", "é")] + ["a" + " " * 999 + "b  c   "]
+    words = [Pieces.split(t) for t in texts]
+    model.learn(set().union(*words))
+    for text, own in zip(texts, words):
+        assert np.frombuffer(model.encode(own), "<u4").tolist() == reference.encode(text), repr(text)
+    started = time.process_time()
+    own = Pieces.split(" " * (1 << 20) + "word")
+    model.learn(set(own))
+    assert len(model.encode(own)) // 4 >= (1 << 16) and time.process_time() - started < 5
+
+
 # --- token counts ----------------------------------------------------------------------------
 
 
@@ -640,6 +659,101 @@ def test_queries_give_rows_for_all(spark, name):
     assert queries()[name](spark, FOLDER).count() > 0
 
 
+# --- columns with names used inside ---------------------------------------------------------
+
+INSIDE = ["_row", "_null", "carried", "chunk", "data", "node", "label", "known", "without", "g", "id", "leaf", "word", "part"]
+
+
+@pytest.fixture(scope="module")
+def clashing(odd):
+    return odd.select("*", *[F.lit(5).alias(n) for n in INSIDE if n not in odd.columns])
+
+
+def test_clashing_names_change_nothing(odd, clashing, no_labels):
+    from fundlake.llm import divergence, exact, merkle, minhash, packing, patterns, quality, sentencepieces, shards, spans, token_counts, toxicity
+    from fundlake.llm.queries import vocabulary
+
+    word, byte = vocabulary("word_bpe_49k.json"), vocabulary("byte_bpe_50k.json")
+    piece = vocabulary("piece_bpe_32k.model")
+    for build in (
+        exact.exact_groups,
+        minhash.near_duplicates,
+        spans.repeated_spans,
+        lambda d: sentencepieces.decoded(sentencepieces.encoded(d, piece), piece),
+        lambda d: token_counts.histogram(d, word),
+        lambda d: quality.quality(d, no_labels),
+        lambda d: toxicity.toxicity(d, no_labels),
+        lambda d: packing.packed(d, word).select("doc_id", "start", "doc_tokens"),
+        lambda d: shards.sharded(d).select("doc_id", "size", "text_crc32"),
+        lambda d: patterns.pattern_packed(d, byte).select("doc_id", "piece", "start", "length", "ids_crc32"),
+        merkle.manifest,
+        divergence.audit,
+    ):
+        without = [sorted(str(tuple(v for k, v in r.asDict().items() if k != "_row")) for r in build(d).collect()) for d in (odd, clashing)]
+        assert without[0] == without[1]
+
+
+def test_stages_with_odd_rows_and_clashing_names(spark, clashing, empty):
+    import corpus_pipeline
+    from fundlake.session import stored
+
+    docs = clashing
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, empty, FOLDER).count() == 0
+        out = stored(stage(spark, docs, FOLDER), name)
+        assert out.dtypes == docs.dtypes and out.count() <= docs.count()
+        assert {r["_row"] for r in out.select("_row").distinct().collect()} == {5}
+        if name == "exact_dedup":
+            assert out.count() == len({"".join((r["text"] or "").split()) for r in docs.collect()})
+        docs = out
+    pack = corpus_pipeline.STAGES[-1][1]
+    assert pack(spark, empty, FOLDER).count() == 0
+    assert pack(spark, docs, FOLDER).groupBy("doc_id").count().count() == docs.select("doc_id").distinct().count()
+
+
+def test_toxicity_learns_one_text_an_id(spark, monkeypatch):
+    from fundlake.llm import toxicity
+
+    given = {}
+    monkeypatch.setattr(toxicity, "fit", lambda pos, rest, prior: given.update(pos=len(pos), rest=len(rest)))
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    docs = spark.createDataFrame([(ids[0], f"text {k}") for k in range(3000)] + [(i, "plain") for i in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(ids[0], 0, 1)], "doc_id long, quality int, toxic int")
+    toxicity.train(docs, labels, positives=10, unlabelled=20)
+    assert given == {"pos": 1, "rest": 20}
+
+
+def test_risk_gradients_equal_plain_loops(monkeypatch):
+    """One round of descent from a known start, where the negative part of the risk is positive."""
+    from fundlake.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "LEAST_TEXTS", 1)
+    monkeypatch.setattr(toxicity, "LEAST_ERRORS", 0.0)
+    positives = [np.array(x, np.uint64) for x in ([1, 2], [1, 3], [2, 9])]
+    unlabelled = [np.array(x, np.uint64) for x in ([1], [4, 9], [5, 6], [4, 6])]
+    signs = set()
+    for prior in (0.05, 0.4, 0.9):
+        offset = np.log(prior / (1 - prior))
+        p, loss = 1 / (1 + np.exp(-offset)), np.logaddexp(0, offset)
+        sign = 1 if loss - prior * loss >= 0 else -1
+        model = toxicity.fit(positives, unlabelled, prior, rounds=1, decay=0.0)
+        grads = {}
+        for key in (1, 2, 3, 4, 5, 6, 9):
+            g = 0.0
+            for doc in positives:
+                if key in doc:
+                    g += (prior * (p - 1) - prior * p if sign > 0 else prior * p) / len(positives)
+            for doc in unlabelled:
+                if key in doc:
+                    g += sign * p / len(unlabelled)
+            grads[key] = g
+        got = dict(zip(model.keys.tolist(), model.weights.tolist()))
+        for key, g in grads.items():
+            assert got.get(key, 0.0) == pytest.approx(-0.05 * g / (abs(g) + 1e-8), abs=2e-3)
+        signs.add(sign)
+    assert signs == {1}
+
+
 # --- rows whose order and splits differ from scan to scan ------------------------------------
 
 
