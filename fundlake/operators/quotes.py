@@ -180,6 +180,31 @@ def live_quotes(responses: DataFrame) -> DataFrame:
     return common.select(*KEEP, "creation", "redemption", published.alias("date"))
 
 
+def polls(responses: DataFrame) -> DataFrame:
+    """Captures of the vendors that say when to ask next: ``(fund, fetched_at, next_ms)``.
+
+    ``next_ms`` is the vendor's ``nextTimeInterval`` in milliseconds; null if the answer has none.
+    """
+    rows = captured(responses, ENDPOINT, C.RAYAN_FAMILY)
+    parsed = rows.select(*KEEP, *_rayan_payloads(F.col("body")))
+    return parsed.select(*KEEP, F.coalesce("new.nextTimeInterval", "old.NextTimeInterval").alias("next_ms"))
+
+
+def polling_runs(polled: DataFrame, otherwise_ms: int = 60_000, late: str | None = None) -> DataFrame:
+    """Unbroken polling per fund: ``(fund, first_poll, last_poll, expected, polls)``.
+
+    A run goes on while the next poll comes before the time that any poll of the run named,
+    ``expected`` being the last such time; polls that name none (or none in the future) count
+    as ``otherwise_ms``. In a stream, ``late`` is how far captures may come behind the newest.
+    """
+    hint = F.when(F.col("next_ms") > 0, F.col("next_ms")).otherwise(F.lit(otherwise_ms))
+    timed = polled if late is None else polled.withWatermark("fetched_at", late)
+    gap = F.concat((hint / 1000).cast("decimal(20,3)").cast("string"), F.lit(" seconds"))
+    runs = timed.groupBy(*S.KEY, F.session_window("fetched_at", gap).alias("run"))
+    found = runs.agg(F.max("fetched_at").alias("last_poll"), F.count("*").alias("polls"))
+    return found.select(*S.KEY, F.col("run.start").alias("first_poll"), "last_poll", F.col("run.end").alias("expected"), "polls")
+
+
 def is_complete(quote: DataFrame) -> Column:
     """A quote counts as parsed when both prices and the time are there."""
     return (

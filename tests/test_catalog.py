@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from fundlake.functions.text import WHITESPACE
-from fundlake.operators import quality, reconcile
+from fundlake.operators import quality, quotes, reconcile
 from fundlake.plans.check_catalog import CatalogError, check_static, require_clean
 from fundlake.plans.update_catalog import update_catalog, write_update
 from fundlake.schemas import CATALOG, REGISTRY, RESPONSES
@@ -24,6 +24,8 @@ from fundlake.sources.tables import (
 from fundlake.streaming.quote_stream import (
     keep_latest,
     quote_stream,
+    read_latest,
+    read_quotes,
     read_landing_stream,
     write_quotes,
 )
@@ -186,7 +188,7 @@ def test_stream_keeps_quotes_far_behind_a_future_one(spark, tmp_path):
         spark.createDataFrame([row], RESPONSES).coalesce(1).write.mode("append").parquet(landing)
     stream = quote_stream(read_landing_stream(spark, landing, files_per_trigger=1))
     write_quotes(stream, str(tmp_path / "quotes"), str(tmp_path / "state")).awaitTermination()
-    rows = spark.read.parquet(str(tmp_path / "quotes")).collect()
+    rows = read_quotes(spark, str(tmp_path / "quotes")).collect()
     assert sorted(r["date"].year for r in rows) == [2022, 2023, 2024, 2030]
 
 
@@ -209,6 +211,73 @@ def test_streams(spark, tmp_path):
 
     stored = spark.read.parquet(str(tmp_path / "quotes")).select("url", "redemption").collect()
     assert sorted(map(tuple, stored)) == [("http://b/", 7.0), ("http://b/", 8.0), ("http://hot/", 90.0), ("http://hot/", 100.0)]
-    versions = sorted(int(p.rsplit("=", 1)[1]) for p in glob.glob(str(tmp_path / "latest" / "v=*")))
-    newest = spark.read.parquet(str(tmp_path / "latest" / f"v={versions[-1]}")).collect()
+    newest = read_latest(spark, str(tmp_path / "latest")).collect()
     assert {r["url"]: r["redemption"] for r in newest} == {"http://hot/": 100.0, "http://b/": 8.0}
+
+
+def drained(spark, tmp_path, *batches):
+    """Land each batch as a file of its own, and run both tables until used up after each."""
+    landing = str(tmp_path / "landing")
+    for rows in batches:
+        captures(spark, rows).coalesce(1).write.mode("append").parquet(landing)
+        for start, name in ((write_quotes, "quotes"), (keep_latest, "latest")):
+            stream = quote_stream(read_landing_stream(spark, landing, files_per_trigger=1))
+            start(stream, str(tmp_path / name), str(tmp_path / f"{name}-state")).awaitTermination()
+
+
+def files(tmp_path, name):
+    return {p for p in glob.glob(str(tmp_path / name / "**" / "*.parquet"), recursive=True)}
+
+
+def test_a_quote_that_comes_again_after_many_batches_appears_once(spark, tmp_path):
+    first = [("http://a/", 1, 100), ("http://a/", 2, 110)]
+    drained(spark, tmp_path, first, *[[(f"http://b{i}/", i, i)] for i in range(4)], first)
+    rows = read_quotes(spark, str(tmp_path / "quotes")).where("url = 'http://a/'").collect()
+    assert sorted((r["date"].second, r["redemption"], r["creation"]) for r in rows) == [(1, 100.0, 101.0), (2, 110.0, 111.0)]
+
+
+def test_a_batch_rewrites_only_the_buckets_of_its_news(spark, tmp_path):
+    many = [(f"http://f{i}/", 5, i) for i in range(200)]
+    drained(spark, tmp_path, many)
+    before = files(tmp_path, "latest")
+    assert len(before) > 40
+    drained(spark, tmp_path, many, [("http://f7/", 4, 1)])  # nothing newer
+    assert files(tmp_path, "latest") == before
+    drained(spark, tmp_path, [("http://f7/", 9, 70)])
+    added = files(tmp_path, "latest") - before
+    assert len(added) == 1 and before <= files(tmp_path, "latest")
+    newest = {r["url"]: r["redemption"] for r in read_latest(spark, str(tmp_path / "latest")).collect()}
+    assert newest == {f"http://f{i}/": float(i) for i in range(200)} | {"http://f7/": 70.0}
+
+
+def test_old_versions_of_a_bucket_are_removed_and_its_number_is_fixed(spark, tmp_path):
+    drained(spark, tmp_path, *[[("http://f/", i, i)] for i in range(5)])
+    assert len(files(tmp_path, "latest")) == 3
+    assert read_latest(spark, str(tmp_path / "latest")).first()["redemption"] == 4.0
+    stream = quote_stream(read_landing_stream(spark, str(tmp_path / "landing")))
+    with pytest.raises(Exception, match="another number of buckets"):
+        keep_latest(stream, str(tmp_path / "latest"), str(tmp_path / "other"), buckets=8).awaitTermination()
+
+
+def test_a_batch_that_runs_again_leaves_the_same_rows(spark, tmp_path):
+    """The log of the last batch is lost, as when a driver ends between writing and noting it."""
+    drained(spark, tmp_path, [("http://a/", 1, 1), ("http://b/", 1, 2)], [("http://a/", 2, 3)])
+    for name in ("quotes", "latest"):
+        for path in (tmp_path / f"{name}-state" / "commits").glob("*1*"):
+            path.unlink()
+    before = [sorted(map(str, read(spark, str(tmp_path / n)).collect())) for read, n in ((read_quotes, "quotes"), (read_latest, "latest"))]
+    drained(spark, tmp_path, [("http://c/", 1, 9)])
+    after = [sorted(map(str, read(spark, str(tmp_path / n)).collect())) for read, n in ((read_quotes, "quotes"), (read_latest, "latest"))]
+    assert all(set(b) < set(a) and len(a) == len(b) + 1 for b, a in zip(before, after))
+
+
+def test_polling_runs(spark):
+    def poll(url, minute, ms, key="nextTimeInterval"):
+        at = datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=minute)
+        return ("RayanHamafza2", url, "1", "live_navps", 1, 200, at, f'{{"{key}":{ms},"fundId":1}}' if ms else "{}")
+
+    rows = [poll("a", 0, 600_000), poll("a", 9, 60_000), poll("a", 9.5, 0), poll("a", 20, -5), poll("b", 3, 120_000), poll("b", 4, 1)]
+    found = quotes.polling_runs(quotes.polls(spark.createDataFrame(rows, RESPONSES)))
+    minute = lambda t: (t - datetime.datetime(2024, 1, 1)).total_seconds() / 60
+    got = sorted((r["url"], *[minute(r[c]) for c in ("first_poll", "last_poll", "expected")], r["polls"]) for r in found.collect())
+    assert got == [("a", 0, 9.5, 10.5, 3), ("a", 20, 20, 21, 1), ("b", 3, 4, 5, 2)]

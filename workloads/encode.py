@@ -49,6 +49,7 @@ def landed(
     body: Column,
     portfolio_id: Column | str = "1",
     page: Column | int = 1,
+    at: Column | None = None,
 ) -> DataFrame:
     """Landing-table rows, one per input row."""
 
@@ -62,7 +63,7 @@ def landed(
         column(endpoint).alias("endpoint"),
         column(page).cast("int").alias("page"),
         F.lit(200).alias("status"),
-        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("fetched_at"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp") if at is None else at).alias("fetched_at"),
         body.alias("body"),
     )
 

@@ -14,6 +14,7 @@ from fundlake.streaming.quote_stream import (
     quote_stream,
     read_landing_stream,
     read_latest,
+    read_quotes,
     write_quotes,
 )
 from workloads.encode import cents, fa, fa_commas, json_text, landed, site_url, time_text
@@ -349,18 +350,55 @@ def landed_events(t) -> str:
 @query(
     "quote_stream",
     """
-    SELECT DISTINCT 'http://user' || user_id || '.example.ir/' AS url,
-      strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS quoted_at
-    FROM events
+    SELECT 'http://user' || user_id || '.example.ir/' AS url,
+      strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS quoted_at,
+      arg_min(c, [c, r]) AS creation, min(r) FILTER (c = least_c) AS redemption
+    FROM (
+      SELECT *, min(c) OVER (PARTITION BY user_id, date_trunc('second', ts)) AS least_c
+      FROM (SELECT *, CAST(round(value * 100) AS DOUBLE) + event_id % 7 AS c, CAST(round(value * 100) AS DOUBLE) AS r FROM events))
+    GROUP BY user_id, date_trunc('second', ts)
     """,
 )
 def streamed_quotes(t):
-    """Landed events read back as a stream until used up; each quote once."""
+    """Landed events read back as a stream until used up, then landed once more; each quote once."""
     base = landed_events(t)
-    stream = quote_stream(read_landing_stream(t.spark, f"{base}/landing"))
-    write_quotes(stream, f"{base}/quotes", f"{base}/checkpoint").awaitTermination()
-    stored = t.spark.read.parquet(f"{base}/quotes")
-    return stored.select("url", time_text("date").alias("quoted_at"))
+
+    def drain():
+        stream = quote_stream(read_landing_stream(t.spark, f"{base}/landing"))
+        write_quotes(stream, f"{base}/quotes", f"{base}/checkpoint").awaitTermination()
+
+    drain()
+    event_quotes(t).write.mode("append").parquet(f"{base}/landing")
+    drain()
+    return read_quotes(t.spark, f"{base}/quotes").select("url", time_text("date").alias("quoted_at"), "creation", "redemption")
+
+
+@query(
+    "polling_gaps",
+    """
+    WITH p AS (
+      SELECT user_id, ts, ts + (1800 * (event_id % 24 + 1)) * INTERVAL 1 SECOND AS until FROM events),
+    m AS (
+      SELECT *, max(until) OVER (PARTITION BY user_id ORDER BY ts, until ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM p),
+    n AS (
+      SELECT *, sum(CASE WHEN reach IS NULL OR ts > reach THEN 1 ELSE 0 END)
+        OVER (PARTITION BY user_id ORDER BY ts, until ROWS UNBOUNDED PRECEDING) AS run FROM m)
+    SELECT 'http://user' || user_id || '.example.ir/' AS url, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_poll,
+      strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_poll, strftime(max(until), '%Y-%m-%d %H:%M:%S') AS expected, count(*) AS polls
+    FROM n GROUP BY user_id, run
+    """,
+)
+def polling_gaps(t):
+    """Every event as a poll whose answer says when to ask next; the runs end where nobody asked in time."""
+    hint = 1_800_000 * (F.col("event_id") % 24 + 1)
+    new = F.to_json(F.struct(hint.alias("nextTimeInterval"), F.lit(1).alias("fundId")))
+    old = F.to_json(F.struct(hint.alias("NextTimeInterval"), F.lit(1).alias("FundId")))
+    body = F.when(F.col("user_id") % 2 == 0, new).otherwise(old)
+    vendor = F.when(F.col("user_id") % 2 == 0, F.lit(C.RAYAN2)).otherwise(F.lit(C.RAYAN))
+    url = site_url("user", "user_id")
+    polled = landed(t.events, vendor, url, Q.ENDPOINT, body, at=F.col("ts").cast("timestamp"))
+    runs = Q.polling_runs(Q.polls(polled))
+    return runs.select("url", *[time_text(c).alias(c) for c in ("first_poll", "last_poll", "expected")], "polls")
 
 
 @query("latest_quote_stream", _LATEST)
