@@ -96,7 +96,10 @@ def uneven_charts(responses: DataFrame) -> DataFrame:
 
 
 def leveraged_points(responses: DataFrame, strict: bool = False) -> DataFrame:
-    """Points of a leveraged chart in long form: ``(fund, series, pos, date, value)``."""
+    """Points of a leveraged chart in long form: ``(fund, series, pos, text, date, value)``.
+
+    ``text`` is the date as the payload writes it; where it is none, ``date`` is null.
+    """
     rows = captured(responses, CHART, [C.TADBIR_LEVERAGED])
     chart = F.slice(_chart_series(F.col("body")), 1, len(C.LEVERAGED_SERIES))
     series = exploded(rows, S.KEY, chart, "s", "series")
@@ -105,28 +108,45 @@ def leveraged_points(responses: DataFrame, strict: bool = False) -> DataFrame:
         *S.KEY,
         "series",
         "pos",
+        F.col("p.x").alias("text"),
         dates.us_date(F.col("p.x"), strict).alias("date"),
         F.col("p.y").alias("value"),
     )
 
 
-def leveraged_navps(responses: DataFrame, strict: bool = False) -> DataFrame:
+def leveraged_navps(responses: DataFrame, strict: bool = False, undated: bool = False) -> DataFrame:
     """Up to six series aligned by date, the first value of a repeated date winning.
 
     A full outer join of six de-duplicated series is six filtered aggregates over one
     grouping by fund and date: one shuffle, reduced on the map side, and a fund with a
-    third of all points still spreads over its dates. Points without a date drop out.
+    third of all points still spreads over its dates.
+
+    Points without a date drop out; ``leveraged_undated`` lists them. With ``undated`` they stay
+    as a chain of full joins leaves them: dates that are null match nothing, so each series
+    that has such points (of which the first stays) adds a row of its own, told apart by the
+    series in the grouping key.
     """
-    points = keep_where(leveraged_points(responses, strict), F.col("date").isNotNull())
+    points = leveraged_points(responses, strict)
+    own = F.when(F.col("date").isNull(), F.col("series")).alias("own")
+    points = points.select("*", own) if undated else keep_where(points, F.col("date").isNotNull())
     columns = []
     for i, name in enumerate(C.LEVERAGED_SERIES):
         mine = F.col("series") == i
         columns.append(
             F.min_by(F.when(mine, F.col("value")), F.when(mine, F.col("pos"))).alias(name)
         )
+    if undated:
+        return points.groupBy(*S.KEY, "date", "own").agg(*columns).drop("own")
     return points.groupBy(*S.KEY, "date").agg(*columns)
 
 
+def leveraged_undated(responses: DataFrame) -> DataFrame:
+    """The points of leveraged charts whose date cannot be read: ``(fund, series, pos, text, value)``, without a shuffle."""
+    points = keep_where(leveraged_points(responses), F.col("date").isNull())
+    name = F.array(*[F.lit(n) for n in C.LEVERAGED_SERIES])[F.col("series")]
+    return points.select(*S.KEY, name.alias("series"), "pos", "text", "value")
+
+
 def rayan_navps(responses: DataFrame, strict: bool = False) -> DataFrame:
     """Records read by position: date, creation, redemption, statistical."""
     rows = captured(responses, CHART, C.RAYAN_FAMILY)

@@ -111,6 +111,15 @@ def uneven_series(t):
     """,
 )
 def nav_leveraged_full_join(t):
+    joined = N.leveraged_navps(leveraged_charts(t))
+    return joined.select(
+        F.col("portfolio_id").cast("bigint").alias("event_id"),
+        date_text("date").alias("day"),
+        *C.LEVERAGED_SERIES,
+    )
+
+
+def leveraged_charts(t):
     """Six series per event: one day missing in each, a repeated day, and a bad date."""
     day, c = F.col("ts").cast("date"), cents("value")
     series = []
@@ -121,7 +130,7 @@ def nav_leveraged_full_join(t):
         repeated = point(us_text(F.date_add(day, 3 if i % 4 != 3 else 2)), F.lit(-1))
         bad = point(F.lit("no date"), F.lit(-2))
         series.append(F.array(*points, repeated, bad))
-    rows = landed(
+    return landed(
         t.events,
         C.TADBIR_LEVERAGED,
         F.lit("http://lever.example.ir/"),
@@ -129,14 +138,56 @@ def nav_leveraged_full_join(t):
         chart(series),
         portfolio_id=F.col("event_id"),
     )
-    joined = N.leveraged_navps(rows)
+
+
+_NAMES = ("normal_creation", "normal_statistical", "normal_redemption", "creation", "redemption", "normal")
+
+
+def _chained() -> str:
+    """Full joins of the six series, one after the other, each reduced to one value a date."""
+    steps = ["j0 AS (SELECT event_id, d, v AS c0 FROM u WHERE i = 0)"]
+    for i in range(1, 6):
+        before = ", ".join(f"c{k}" for k in range(i))
+        steps.append(
+            f"j{i} AS (SELECT coalesce(j.event_id, s.event_id) AS event_id, coalesce(j.d, s.d) AS d, {before}, s.v AS c{i} "
+            f"FROM j{i - 1} j FULL JOIN (SELECT * FROM u WHERE i = {i}) s ON s.event_id = j.event_id AND s.d = j.d)"
+        )
+    return ", ".join(steps)
+
+
+@query(
+    "nav_leveraged_exact",
+    f"""
+    WITH p AS (
+      SELECT event_id, i, k AS pos, CAST(ts AS DATE) + CAST(k AS INTEGER) AS d,
+        (CAST(round(value * 100) AS BIGINT) + i * 10 + k) / 100.0 AS v
+      FROM events, range(0, 6) s(i), range(0, 4) r(k) WHERE k <> i % 4
+      UNION ALL SELECT event_id, i, 9, NULL, -2.0 FROM events, range(0, 6) s(i)),
+    u AS (SELECT event_id, i, d, arg_min(v, pos) AS v FROM p GROUP BY event_id, i, d),
+    {_chained()}
+    SELECT event_id, strftime(d, '%Y-%m-%d') AS day, {", ".join(f"c{i} AS {n}" for i, n in enumerate(_NAMES))} FROM j5
+    """,
+)
+def nav_leveraged_exact(t):
+    """As a chain of full joins would align them: undated points stay, each series for itself."""
+    joined = N.leveraged_navps(leveraged_charts(t), undated=True)
     return joined.select(
-        F.col("portfolio_id").cast("bigint").alias("event_id"),
-        date_text("date").alias("day"),
-        *C.LEVERAGED_SERIES,
+        F.col("portfolio_id").cast("bigint").alias("event_id"), date_text("date").alias("day"), *C.LEVERAGED_SERIES
     )
 
 
+@query(
+    "nav_leveraged_undated",
+    f"""
+    SELECT event_id, {list(_NAMES)}[i + 1] AS series, 4 AS pos, 'no date' AS text, -2.0::DOUBLE AS value
+    FROM events, range(0, 6) s(i)
+    """,
+)
+def nav_leveraged_undated(t):
+    found = N.leveraged_undated(leveraged_charts(t))
+    return found.select(F.col("portfolio_id").cast("bigint").alias("event_id"), "series", "pos", "text", "value")
+
+
 def positional_body():
     """Records whose key names differ by order status."""
     c = cents("o_totalprice")
