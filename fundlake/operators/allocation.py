@@ -14,6 +14,7 @@ from fundlake import schemas as S
 from fundlake.functions import jalali, text
 from fundlake.functions.rows import exploded, keep_where
 from fundlake.operators.lookup import lookup_join
+from fundlake.sources import records
 from fundlake.sources.landing import captured, status_error
 from fundlake.sources.payload import decode_json_string, from_json, read_records, script_state
 
@@ -210,6 +211,11 @@ def industries(responses: DataFrame) -> DataFrame:
     return listed.unionByName(embedded)
 
 
+def open_industries(responses: DataFrame) -> DataFrame:
+    """Industry payload as the vendor sends it: ``(fund, pos, record)``, no record to declare."""
+    return records.open_records(captured(responses, "industries", C.RAYAN_FAMILY), S.KEY, F.col("body"))
+
+
 def industry_records(responses: DataFrame, record: str) -> DataFrame:
     """Industry payload as a table with the record schema the caller declares."""
     rows = captured(responses, "industries", C.RAYAN_FAMILY)
@@ -317,8 +323,13 @@ def leverage(responses: DataFrame) -> DataFrame:
 
 
 def weight_violations(responses: DataFrame, tolerance: float = 1e-6) -> DataFrame:
-    """Captures whose weights do not add up to one."""
-    total = F.aggregate("entries", F.lit(0.0), lambda acc, e: acc + e["weight"])
+    """Captures whose weights, of repeated items the last ones, do not add up to one."""
+    items = F.col("entries")["item"]
+    last = F.filter(
+        "entries",
+        lambda e, i: ~F.exists(F.slice(items, i + 2, F.size(items)), lambda later: later.eqNullSafe(e["item"])),
+    )
+    total = F.aggregate(last, F.lit(0.0), lambda acc, e: acc + e["weight"])
     totals = _parsed(responses).select(*S.KEY, "fetched_at", total.alias("total"))
     return keep_where(
         totals, F.col("total").isNull() | (F.abs(F.col("total") - 1) > tolerance)

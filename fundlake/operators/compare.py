@@ -11,6 +11,7 @@ from fundlake import constants as C
 from fundlake import schemas as S
 from fundlake.functions.rows import inlined
 from fundlake.operators.lookup import lookup_join, one_per_key, unmatched
+from fundlake.sources import records
 from fundlake.sources.payload import from_json, layout_model
 
 EXCHANGE_SYMBOL = "instrument.lVal18AFC"
@@ -22,6 +23,13 @@ def portal_list(responses: DataFrame) -> DataFrame:
     return inlined(rows, [], from_json(F.col("body"), S.ETF_LIST)["data"])
 
 
+def portal_records(responses: DataFrame) -> DataFrame:
+    """The same list with all that the portal sends: ``(asset_id, name, record)``."""
+    rows = responses.filter(F.col("endpoint") == "etf_list")
+    found = records.open_records(rows, [], F.col("body"), "$.data")
+    return found.select(records.field("asset_id", "string").alias("asset_id"), records.field("name", "string").alias("name"), records.RECORD)
+
+
 def asset_specifications(responses: DataFrame) -> DataFrame:
     """Specification record per asset; ``short_name`` is that of its first instrument."""
     rows = responses.filter(F.col("endpoint") == "asset_spec")

@@ -18,6 +18,7 @@ from fundlake import schemas as S
 from fundlake.functions import dates, jalali, text
 from fundlake.functions.rows import exploded, inlined, keep_where
 from fundlake.sources.landing import captured
+from fundlake.sources import records
 from fundlake.sources.payload import from_json, report_cells
 
 CHART = "navps_history"
@@ -185,6 +186,14 @@ def mabna_navps(responses: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
+def mabna_records(responses: DataFrame) -> DataFrame:
+    """The chart with all columns that the vendor sends: ``(fund, pos, date, record)``."""
+    rows = captured(responses, CHART, [C.MABNA])
+    found = records.open_records(rows, S.KEY, F.col("body"), "$.data")
+    date = dates.tehran_date(dates.instant(records.field("date_time", "string"), strict=False))
+    return found.select(*S.KEY, "pos", date.alias("date"), records.RECORD)
+
+
 def mabna_assets(responses: DataFrame, strict: bool = False) -> DataFrame:
     """History of total assets: ``date_time``, ``value``, ``date``."""
     return _mabna_chart(responses, "assets_history", S.MABNA_ASSETS_CHART, strict)

@@ -244,39 +244,39 @@ def portfolios(responses: DataFrame) -> DataFrame:
 
 
 def vendor_by_trial(responses: DataFrame) -> DataFrame:
-    """``(domain, url, site_type)``: the first vendor, in trial order, whose quote parses.
+    """``(domain, url, site_type)``: the first vendor, in trial order, whose newest quote parses.
 
-    A trial is a landed quote whose ``site_type`` says how it was asked for. Trials of a
-    domain are reduced by a minimum, so repeats shrink before the shuffle.
+    A trial is a landed quote whose ``site_type`` says how it was asked for. An answer that
+    parsed once does not count after a newer one of the same trial that does not. Trials are
+    reduced by maxima of small structs, so repeats shrink before the shuffle.
     """
     rows = captured(responses, quotes.ENDPOINT, C.TRIAL_ORDER)
+    parsed = quotes.live_quotes(rows)
+    outcome = F.struct("fetched_at", quotes.is_complete(parsed).alias("complete"), text.url_base(F.col("url")).alias("url"))
+    keyed = parsed.select(text.url_domain(F.col("url")).alias("domain"), "site_type", outcome.alias("outcome"))
+    newest = keyed.groupBy("domain", "site_type").agg(F.max("outcome").alias("newest"))
     priority = F.lit(None).cast("int")
     for i, name in enumerate(C.TRIAL_ORDER):
         priority = F.when(F.col("site_type") == name, F.lit(i)).otherwise(priority)
-    parsed = quotes.live_quotes(rows)
-    read = keep_where(parsed, quotes.is_complete(parsed))
-    return _first_per_domain(read.select(priority.alias("priority"), "url", "site_type"))
-
-
-def _first_per_domain(found: DataFrame) -> DataFrame:
-    """``(domain, url, site_type)`` of the smallest ``priority`` per domain of ``url``."""
-    candidate = F.struct("priority", text.url_base(F.col("url")).alias("url"), "site_type")
-    keyed = found.select(text.url_domain(F.col("url")).alias("domain"), candidate.alias("found"))
-    best = keyed.groupBy("domain").agg(F.min("found").alias("best"))
+    read = newest.filter("newest.complete").select("domain", F.struct(priority.alias("priority"), "newest.url", "site_type").alias("found"))
+    best = read.groupBy("domain").agg(F.min("found").alias("best"))
     return best.select("domain", "best.url", "best.site_type")
 
 
 def probed_sites(responses: DataFrame) -> DataFrame:
     """``(domain, url, site_type)`` of every landed site, the input of a catalogue update.
 
-    A home page that carries a vendor's markers decides; only without one does the first
-    vendor whose quote parses.
+    The newest home page of a domain decides if it carries a vendor's markers, whatever older
+    pages carried; without markers the first vendor whose newest quote parses does.
     """
-    pages = classify(captured(responses, "home"), ["url"])
-    marked = keep_where(pages, F.col("site_type").isNotNull())
-    tried = vendor_by_trial(responses).select(F.lit(1).alias("priority"), "url", "site_type")
-    both = marked.select(F.lit(0).alias("priority"), "url", "site_type").unionByName(tried)
-    return _first_per_domain(both)
+    pages = classify(captured(responses, "home"), ["url", "fetched_at"])
+    seen = F.struct("fetched_at", "site_type", text.url_base(F.col("url")).alias("url"))
+    keyed = pages.select(text.url_domain(F.col("url")).alias("domain"), seen.alias("seen"))
+    newest = keyed.groupBy("domain").agg(F.max("seen").alias("seen"))
+    marked = newest.filter("seen.site_type IS NOT NULL").select("domain", F.struct(F.lit(0).alias("priority"), "seen.url", "seen.site_type").alias("found"))
+    tried = vendor_by_trial(responses).select("domain", F.struct(F.lit(1).alias("priority"), "url", "site_type").alias("found"))
+    best = marked.unionByName(tried).groupBy("domain").agg(F.min("found").alias("best"))
+    return best.select("domain", "best.url", "best.site_type")
 
 
 def versions(responses: DataFrame) -> DataFrame:

@@ -16,12 +16,12 @@ from workloads.registry import query
 _STRANGE = "چیز دیگر"
 
 
-def percents():
+def percents(more=0):
     """Three percentages with two decimals from the columns of an order, and the rest."""
     a = F.pmod(cents("o_totalprice"), F.lit(5000))
     b = F.pmod(F.col("o_custkey"), F.lit(2000))
     c = F.pmod(F.col("o_orderkey"), F.lit(3000))
-    return [x.cast("double") / 100 for x in (a, b, c, 10000 - a - b - c)]
+    return [x.cast("double") / 100 for x in (a, b, c, 10000 - a - b - c + more)]
 
 
 def order_vendor():
@@ -34,9 +34,9 @@ def order_vendor():
     )
 
 
-def allocation_body():
+def allocation_body(more=0):
     """Allocation in the vendor's form. One vendor repeats an item: the last weight counts."""
-    a, b, c, rest = percents()
+    a, b, c, rest = percents(more)
 
     def entries(names, title, value):
         return [F.struct(F.lit(n).alias(title), v.alias(value)) for n, v in names]
@@ -79,8 +79,8 @@ def allocation_body():
     )
 
 
-def order_allocations(t, broken: bool = False):
-    body = allocation_body()
+def order_allocations(t, broken: bool = False, more=0):
+    body = allocation_body(more)
     if broken:
         body = F.when(F.col("o_orderkey") % 11 == 0, F.lit('{"oops')).otherwise(body)
     return landed(
@@ -140,11 +140,12 @@ def allocation_unknown(t):
 
 @query(
     "weights_off_one",
-    "SELECT o_orderkey, CAST(199 AS BIGINT) AS percent FROM orders WHERE o_orderkey % 4 = 0",
+    "SELECT o_orderkey, CAST(100 + o_orderkey % 7 AS BIGINT) AS percent FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey % 7 <> 0",
 )
 def weights_off_one(t):
-    """The repeated item makes the raw list of one vendor exceed one."""
-    found = A.weight_violations(order_allocations(t))
+    """Some orders hold too much of one item; an item that one vendor repeats counts once."""
+    more = F.when(F.col("o_orderkey") % 5 == 0, F.col("o_orderkey") % 7 * 100).otherwise(0)
+    found = A.weight_violations(order_allocations(t, more=more))
     return found.select(
         F.col("portfolio_id").cast("bigint").alias("o_orderkey"),
         F.round(F.col("total") * 100).cast("bigint").alias("percent"),

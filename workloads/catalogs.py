@@ -798,24 +798,29 @@ def catalog_roundtrip(t):
     )
 
 
-def update_inputs(t):
-    """Catalogue and registry of customers, instruments and probes derived from them."""
+def update_inputs(t, registered=None):
+    """Every customer as a catalogue row and as a registry row, instruments and probes derived from them.
+
+    Customers of a small balance are catalogued without their number, so that the registry has
+    them as new funds; those not ``registered`` have another number there.
+    """
     key, nation = F.col("c_custkey"), F.col("c_nationkey")
     number = text_of("c_custkey")
-    stored = F.col("c_acctbal") > 3000
+    sited = (key % 3 == 0) & (nation % 4 != 0)
+    numbered = (F.col("c_acctbal") > 3000) & (key % 50 != 0)
     catalog = catalog_of(
-        t.customer.filter(stored),
+        t.customer,
         l18=joined_text("S", number),
         name=F.col("c_name"),
         type=F.lit("Old"),
         ins_code=joined_text("i", number),
-        reg_no=F.when(key % 50 != 0, number),
-        url=F.when(key % 3 == 0, joined_text("http://n", text_of("c_nationkey"), ".ir/")),
-        site_type=F.when(key % 3 == 0, F.lit(C.RAYAN)),
+        reg_no=F.when(numbered, number),
+        url=F.when(sited, joined_text("http://n", text_of("c_nationkey"), ".ir/")),
+        site_type=F.when(sited, F.lit(C.RAYAN)),
         group_id=nation % 5,
     )
     registry = t.customer.select(
-        number.alias("regNo"),
+        (number if registered is None else F.when(registered, number).otherwise(joined_text("R", number))).alias("regNo"),
         F.when(key % 2 == 0, joined_text("i", number)).alias("insCode"),
         (nation % 5).alias("groupId"),
         F.when(F.col("c_mktsegment") == "MACHINERY", "Private").otherwise("Negotiable").alias("typeOfInvest"),
@@ -854,10 +859,10 @@ _UPDATE = """
         AND c_custkey % 13 <> 0
     ), stored AS (
       SELECT c_custkey AS k, 'S' || c_custkey AS l18, c_name AS name, 'Old' AS type, 'i' || c_custkey AS ins_code,
-        CASE WHEN c_custkey % 50 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS reg_no,
-        CASE WHEN c_custkey % 3 = 0 THEN 'http://n' || c_nationkey || '.ir/' END AS url,
-        CASE WHEN c_custkey % 3 = 0 THEN 'RayanHamafza' END AS site_type, c_nationkey % 5 AS grp
-      FROM customer WHERE c_acctbal > 3000
+        CASE WHEN c_acctbal > 3000 AND c_custkey % 50 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS reg_no,
+        CASE WHEN c_custkey % 3 = 0 AND c_nationkey % 4 <> 0 THEN 'http://n' || c_nationkey || '.ir/' END AS url,
+        CASE WHEN c_custkey % 3 = 0 AND c_nationkey % 4 <> 0 THEN 'RayanHamafza' END AS site_type, c_nationkey % 5 AS grp
+      FROM customer
     ), known AS (SELECT DISTINCT regexp_extract(url, '//([^/]+)/', 1) AS domain FROM stored WHERE url IS NOT NULL),
     found AS (
       SELECT 'n' || n_nationkey || '.ir' AS domain, 'http://n' || n_nationkey || '.ir/' AS url FROM nation
@@ -904,15 +909,9 @@ def catalog_unresolved(t):
 
 @query(
     "catalog_not_in_registry",
-    """
-    SELECT 'S' || c_custkey AS l18 FROM customer WHERE c_acctbal > 3000 AND c_custkey % 50 <> 0
-      AND c_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 6000)
-    """,
+    "SELECT 'S' || c_custkey AS l18 FROM customer WHERE c_acctbal >= 6000 AND c_custkey % 50 <> 0",
 )
 def catalog_not_in_registry(t):
-    """The registry lacks customers with a large balance."""
-    catalog, registry, instruments, probes = update_inputs(t)
-    small = t.customer.filter(F.col("c_acctbal") < 6000).select(text_of("c_custkey").alias("regNo"))
-    reduced = registry.join(small, "regNo", "left_semi")
-    result = update_catalog(catalog, reduced, instruments, probes)
+    """The registry knows customers of a large balance by another number."""
+    result = update_catalog(*update_inputs(t, registered=F.col("c_acctbal") < 6000))
     return result.missing_from_registry.select("l18")

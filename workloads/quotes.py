@@ -95,6 +95,15 @@ def live_quote_double_json(t):
     )
 
 
+def tadbir_body(key: str, balance: str):
+    """The double-encoded quote with the prices and the time only, at a second past midnight of the key."""
+    k, c = F.col(key), cents(balance)
+    day = text.persian_digits(jalali.from_date(day_of(key)))
+    published = F.concat(day, F.lit(" "), fa(clock(F.pmod(k * 11, F.lit(86400)))))
+    prices = [fa_commas(c + 3).alias("subNav"), fa_commas(c).alias("cancelNav"), fa_commas(c + 1).alias("esmiNav")]
+    return json_text(F.to_json(F.struct(*prices, published.alias("publishDate"))))
+
+
 def leveraged_body(key: str, balance: str):
     """Leveraged quote in which the base amount is a quarter of key units over the super one."""
     k, c = F.col(key), cents(balance)
@@ -232,6 +241,11 @@ def live_quote_json(t):
       CAST(round(s_acctbal * 100) AS DOUBLE),
       {_SQL_TIME.format(k="s_suppkey", seconds="s_suppkey % 86400")}
     FROM supplier
+    UNION ALL
+    SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN '{C.TADBIR}' ELSE '{C.TADBIR_MULTI}' END,
+      CAST(round(s_acctbal * 100) AS DOUBLE) + 3, CAST(round(s_acctbal * 100) AS DOUBLE),
+      {_SQL_TIME.format(k="s_suppkey", seconds="s_suppkey * 11 % 86400")}
+    FROM supplier
     """,
 )
 def live_quote_all_vendors(t):
@@ -243,7 +257,15 @@ def live_quote_all_vendors(t):
         leveraged_body("s_suppkey", "s_acctbal"),
         portfolio_id=F.col("s_suppkey"),
     )
-    return _common(Q.live_quotes(three_vendor_quotes(t.supplier).unionByName(leveraged)))
+    tadbir = landed(
+        t.supplier,
+        F.when(F.col("s_suppkey") % 2 == 0, F.lit(C.TADBIR)).otherwise(F.lit(C.TADBIR_MULTI)),
+        site_url("tadbir", "s_suppkey"),
+        Q.ENDPOINT,
+        tadbir_body("s_suppkey", "s_acctbal"),
+        portfolio_id=F.col("s_suppkey"),
+    )
+    return _common(Q.live_quotes(three_vendor_quotes(t.supplier).unionByName(leveraged).unionByName(tadbir)))
 
 
 @query(
@@ -251,13 +273,21 @@ def live_quote_all_vendors(t):
     """
     SELECT 'c' || c_custkey || '.example.ir' AS domain,
       'http://c' || c_custkey || '.example.ir/' AS url,
-      CASE WHEN c_custkey % 2 = 0 THEN 'RayanHamafza2' WHEN c_custkey % 3 = 0 THEN 'LeveragedTadbirPardaz'
-        ELSE 'MabnaDP2' END AS site_type
-    FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0 OR c_custkey % 5 <> 0
+      CASE WHEN c_custkey % 2 = 0 THEN 'RayanHamafza2' WHEN c_custkey % 7 = 0 THEN 'TadbirPardaz'
+        WHEN c_custkey % 3 = 0 THEN 'LeveragedTadbirPardaz' ELSE 'MabnaDP2' END AS site_type
+    FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 7 = 0 OR c_custkey % 3 = 0 OR c_custkey % 5 <> 0
     """,
 )
 def trials(t):
-    return vendor_by_trial(trial_responses(t))
+    return vendor_by_trial(trial_responses(t).unionByName(outdated_trials(t)))
+
+
+def outdated_trials(t):
+    """A quote that every site once gave in the first vendor's form, a year before the others."""
+    url = F.concat(site_url("c", "c_custkey"), F.lit("api/v1/quote?x=1"))
+    body = rayan_body("c_custkey", "c_acctbal", False)
+    at = F.lit("2023-01-01 00:00:00").cast("timestamp")
+    return landed(t.customer, C.RAYAN2, url, Q.ENDPOINT, body, at=at)
 
 
 def trial_responses(t):
@@ -279,7 +309,7 @@ def trial_responses(t):
             vendor == C.MABNA,
             F.when(key % 5 != 0, mabna_body("c_custkey", "c_acctbal")).otherwise(F.lit("{}")),
         )
-        .otherwise(broken)
+        .otherwise(F.when(key % 7 == 0, tadbir_body("c_custkey", "c_acctbal")).otherwise(broken))
     )
     url = F.concat(site_url("c", "c_custkey"), F.lit("api/v1/quote?x=1"))
     return landed(tried, vendor, url, Q.ENDPOINT, body)
@@ -291,16 +321,19 @@ def trial_responses(t):
     SELECT 'c' || c_custkey || '.example.ir' AS domain,
       'http://c' || c_custkey || '.example.ir/' AS url,
       CASE WHEN c_nationkey < 8 THEN 'TadbirPardaz' WHEN c_custkey % 2 = 0 THEN 'RayanHamafza2'
-        WHEN c_custkey % 3 = 0 THEN 'LeveragedTadbirPardaz' ELSE 'MabnaDP2' END AS site_type
+        WHEN c_custkey % 7 = 0 THEN 'TadbirPardaz' WHEN c_custkey % 3 = 0 THEN 'LeveragedTadbirPardaz' ELSE 'MabnaDP2' END AS site_type
     FROM customer
-    WHERE c_nationkey < 8 OR c_custkey % 2 = 0 OR c_custkey % 3 = 0 OR c_custkey % 5 <> 0
+    WHERE c_nationkey < 8 OR c_custkey % 2 = 0 OR c_custkey % 7 = 0 OR c_custkey % 3 = 0 OR c_custkey % 5 <> 0
     """,
 )
 def probes_of_sites(t):
-    """Customers of some nations have a marked home page; the others are told by trial."""
+    """Customers of some nations have a marked home page; the others are told by trial, whatever older pages had."""
     page = F.when(F.col("c_nationkey") < 8, F.lit(C.TADBIR_MARKER)).otherwise(F.lit("<html>"))
     homes = landed(t.customer, "", site_url("c", "c_custkey"), "home", page)
-    return probed_sites(homes.unionByName(trial_responses(t)))
+    at = F.lit("2023-06-01 00:00:00").cast("timestamp")
+    older = landed(t.customer, "", site_url("c", "c_custkey"), "home", F.lit(C.RAYAN2_MARKER), at=at)
+    trials = trial_responses(t).unionByName(outdated_trials(t))
+    return probed_sites(homes.unionByName(older).unionByName(trials))
 
 
 def event_quotes(t):
