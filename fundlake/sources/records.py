@@ -26,7 +26,8 @@ def open_records(rows: DataFrame, keep: list[str], body: Column, path: str = "$"
 
 def field(name: str, kind: str) -> Column:
     """A field of the record, null where it is missing or of another kind; other spellings are other fields."""
-    return F.try_variant_get(F.col(RECORD), f"$['{name}']", kind)
+    quote = "'" if '"' in name else '"'
+    return F.try_variant_get(F.col(RECORD), f"$[{quote}{name}{quote}]", kind)
 
 
 def fields(records: DataFrame, keep: list[str]) -> DataFrame:

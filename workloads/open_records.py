@@ -8,8 +8,9 @@ from fundlake import constants as C
 from fundlake.operators import allocation as A
 from fundlake.operators import compare
 from fundlake.operators import nav as N
+from fundlake.operators.violations import DIVIDENDS, QUOTES, parse_violations
 from fundlake.sources.records import fields
-from workloads.encode import cents, date_text, landed, site_url
+from workloads.encode import cents, date_text, fa_commas, json_text, landed, site_url
 from workloads.registry import query
 
 
@@ -74,3 +75,42 @@ def industry_fields(t):
     rows = landed(t.supplier, C.RAYAN2, site_url("i", "s_suppkey"), "industries", F.to_json(F.array(*record)), portfolio_id=F.col("s_suppkey"))
     found = fields(A.open_industries(rows), ["portfolio_id", "pos"])
     return found.select(F.col("portfolio_id").cast("bigint").alias("s_suppkey"), "pos", "field", "value")
+
+
+@query(
+    "parse_violations",
+    """
+    WITH c AS (SELECT c_custkey AS k, CAST(round(c_acctbal * 100) AS BIGINT) AS v FROM customer)
+    SELECT k, 'navps_history' AS endpoint, 'total_unit_count' AS field, k || '.25' AS text, k + 0.25 AS number, 'fraction' AS reason
+    FROM c WHERE k % 3 = 0 AND k % 2 = 0
+    UNION ALL SELECT k, 'dividend_history', 'unitProfit', v || '.5', CAST(v || '.5' AS DOUBLE), 'fraction' FROM c WHERE k % 3 = 1 AND k % 5 = 0 AND k % 2 = 0
+    UNION ALL SELECT k, 'dividend_history', 'fundUnit', 'n/a', NULL, 'no number' FROM c WHERE k % 3 = 1 AND k % 4 = 0
+    UNION ALL SELECT k, 'live_navps', 'subNav', k || '.75', k + 0.75, 'fraction' FROM c WHERE k % 3 = 2 AND k % 7 = 0
+    UNION ALL SELECT k, 'live_navps', NULL, NULL, NULL, 'unreadable body' FROM c WHERE k % 3 = 2 AND k % 7 = 1
+    """,
+)
+def violations(t):
+    """Three kinds of payload; some of their whole numbers have fractions, one is text, some bodies are broken."""
+    k, v = F.col("c_custkey"), cents("c_acctbal")
+    units = F.when(k % 2 == 0, F.concat(k, F.lit(".25"))).otherwise(k.cast("string"))
+    chart = F.concat(F.lit('{"data":[{"total_unit_count":'), units, F.lit(',"purchase_price":1.5,"today_purchase_count":null}]}'))
+    profit = F.when(k % 5 == 0, F.concat(v, F.lit(".5"))).otherwise(v.cast("string"))
+    unit = F.when(k % 4 == 0, F.lit('"n/a"')).otherwise(v.cast("string"))
+    plain = F.concat(F.lit('[{"unitProfit":'), profit, F.lit(',"fundUnit":'), unit, F.lit(',"profitDate":"1403/01/01","new":0.5}]'))
+    capital = F.concat(F.lit('{"data":[{"UnitProfit":7,"FundUnit":'), unit, F.lit("}]}"))
+    price = F.when(k % 7 == 0, F.concat(k, F.lit(".75"))).otherwise(k.cast("string"))
+    quote = F.to_json(F.struct(price.alias("subNav"), fa_commas(v).alias("cancelNav")))
+    live = F.when(k % 7 == 1, F.lit("<html>")).otherwise(json_text(quote))
+    old = k % 2 == 1
+    kind = F.when(k % 3 == 0, 0).when(k % 3 == 1, 1).otherwise(2)
+    rows = landed(
+        t.customer,
+        F.when(kind == 0, C.MABNA).when(kind == 1, F.when(old, C.RAYAN).otherwise(C.RAYAN2)).otherwise(C.TADBIR),
+        F.lit("http://v.example.ir/"),
+        F.when(kind == 0, N.CHART).when(kind == 1, DIVIDENDS).otherwise(QUOTES),
+        F.when(kind == 0, chart).when(kind == 1, F.when(old, capital).otherwise(plain)).otherwise(live),
+        portfolio_id=k,
+    )
+    found = parse_violations(rows)
+    number = F.col("number").cast("double").alias("number")
+    return found.select(F.col("portfolio_id").cast("bigint").alias("k"), "endpoint", "field", "text", number, "reason")
