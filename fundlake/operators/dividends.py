@@ -62,6 +62,23 @@ def json_dividends(responses: DataFrame, strict: bool = False) -> DataFrame:
     return flat.withColumn("date", jalali.to_date(F.col("profitDate"), strict))
 
 
+def all_dividends(
+    responses: DataFrame,
+    from_date: datetime.date | None = None,
+    to_date: datetime.date | None = None,
+) -> DataFrame:
+    """Dividends of every vendor under common names, in the given range of dates (both inclusive).
+
+    ``(fund, date, fundUnit, unitProfit, sumAllProfit, profitPercent)``. JSON lists send no
+    percentage, so theirs is null. Reports and lists lie in the same endpoint but need
+    different parsers: two scans, each filtered by vendor, and no shuffle.
+    """
+    common = [*S.KEY, "date", "fundUnit", "unitProfit", "sumAllProfit"]
+    reports = report_dividends(responses, from_date, to_date).select(*common, "profitPercent")
+    lists = in_range(json_dividends(responses), from_date, to_date).select(*common, F.lit(None).cast("double").alias("profitPercent"))
+    return reports.unionByName(lists)
+
+
 def payout_per_fund(dividends: DataFrame) -> DataFrame:
     """Number of payments, their total, and the first and last date of each fund.
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlake.functions import text
+from fundlake.operators.positions import positioned
 from fundlake.schemas import CATALOG, CATALOG_COLUMNS, REGISTRY
 from fundlake.sources.landing import portfolio_or_default
 
@@ -51,21 +52,30 @@ def scan_catalog(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CATALOG).parquet(path)
 
 
+def _stored_columns(catalog: DataFrame) -> DataFrame:
+    letters = {name: text.normalize_letters(F.col(name)) for name in ("l18", "name")}
+    types = dict(f.split() for f in CATALOG.split(", "))
+    return catalog.select(
+        *[letters.get(c, F.col(c)).cast(types[c]).alias(c) for c in CATALOG_COLUMNS]
+    )
+
+
+def _order() -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in ("l18", "ins_code", "reg_no", "url", "portfolio_id", "name")]
+
+
 def catalog_rows(catalog: DataFrame) -> DataFrame:
     """Catalogue ready to be stored: Persian letters, ten columns, sorted by symbol.
 
     Rows of one symbol are ordered by their other columns too, so that the range sort can
     split a symbol that fills more than one partition.
     """
-    letters = {name: text.normalize_letters(F.col(name)) for name in ("l18", "name")}
-    types = dict(f.split() for f in CATALOG.split(", "))
-    rows = catalog.select(
-        *[letters.get(c, F.col(c)).cast(types[c]).alias(c) for c in CATALOG_COLUMNS]
-    )
-    ties = ["ins_code", "reg_no", "url", "portfolio_id", "name"]
-    return rows.orderBy(
-        F.col("l18").asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in ties]
-    )
+    return _stored_columns(catalog).orderBy(*_order())
+
+
+def catalog_positions(catalog: DataFrame) -> DataFrame:
+    """The rows of ``catalog_rows`` with their ``position`` in that order, from 0; equal rows take neighbouring ones."""
+    return positioned(_stored_columns(catalog), _order())
 
 
 def sink_catalog(catalog: DataFrame, path: str) -> None:

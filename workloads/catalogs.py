@@ -13,7 +13,7 @@ from fundlake.plans.update_catalog import update_catalog
 from fundlake.schemas import CATALOG
 from fundlake.session import shared_folder
 from fundlake.sources.landing import for_portfolio, latest_capture
-from fundlake.sources.tables import scan_catalog_csv, sink_catalog_csv, with_site
+from fundlake.sources.tables import catalog_positions, scan_catalog_csv, sink_catalog_csv, with_site
 from workloads.encode import landed
 from workloads.registry import query
 
@@ -915,3 +915,17 @@ def catalog_not_in_registry(t):
     """The registry knows customers of a large balance by another number."""
     result = update_catalog(*update_inputs(t, registered=F.col("c_acctbal") < 6000))
     return result.missing_from_registry.select("l18")
+
+
+@query(
+    "catalog_sorted",
+    """
+    SELECT row_number() OVER (ORDER BY encode('S' || c_nationkey), encode(CAST(c_custkey AS VARCHAR))) - 1 AS position,
+      'S' || c_nationkey AS l18, CAST(c_custkey AS VARCHAR) AS ins_code
+    FROM customer
+    """,
+)
+def catalog_sorted(t):
+    """The stored order of a catalogue in which few symbols repeat very often, as positions."""
+    rows = catalog_of(t.customer, l18=joined_text("S", text_of("c_nationkey")), ins_code=text_of("c_custkey"))
+    return catalog_positions(rows).select("position", "l18", "ins_code")

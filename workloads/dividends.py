@@ -151,6 +151,20 @@ def report_pages_complete(t):
     """,
 )
 def dividend_json(t):
+    rows = D.json_dividends(list_pages(t))
+    return rows.select(
+        F.col("fundId").alias("o_orderkey"),
+        F.col("fundUnit").alias("fund_unit"),
+        F.col("unitProfit").alias("unit_profit"),
+        F.col("sumUnitProfit").alias("sum_unit_profit"),
+        F.col("sumAllProfit").alias("sum_all_profit"),
+        date_text("date").alias("day"),
+        "site_type",
+    )
+
+
+def list_pages(t):
+    """One payment per order as a JSON list in the two spellings."""
     values = {
         "fundId": F.col("o_orderkey"),
         "profitDate": jalali.from_date(F.col("o_orderdate").cast("date")),
@@ -172,20 +186,37 @@ def dividend_json(t):
     body = F.when(old, F.to_json(F.struct(F.array(capital).alias("data")))).otherwise(
         F.to_json(plain)
     )
-    pages = landed(
+    return landed(
         t.orders,
         F.when(old, F.lit(C.RAYAN)).otherwise(F.lit(C.RAYAN2)),
         site_url("fund", "o_orderkey"),
         D.ENDPOINT,
         body,
     )
-    rows = D.json_dividends(pages)
+
+
+@query(
+    "dividends_all_vendors",
+    f"""
+    SELECT 'TadbirPardaz' AS site_type, 'http://fund' || o_custkey || '.example.ir/' AS url, strftime(d, '%Y-%m-%d') AS day,
+      o_orderkey * 1000 + k AS units, o_custkey + 100 * k AS unit_profit, c * k AS total_profit,
+      CASE WHEN (o_orderkey + k) % 5 = 0 THEN NULL ELSE c / 1000.0 END AS percent
+    FROM ({_PAYMENTS}) WHERE d BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'
+    UNION ALL
+    SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'RayanHamafza' ELSE 'RayanHamafza2' END, 'http://fund' || o_orderkey || '.example.ir/',
+      strftime(o_orderdate, '%Y-%m-%d'), CAST(round(o_totalprice * 100) AS BIGINT), o_custkey,
+      CAST(round(o_totalprice * 100) AS BIGINT) * 7, NULL
+    FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'
+    """,
+)
+def dividends_all_vendors(t):
+    rows = D.all_dividends(report_pages(t).unionByName(list_pages(t)), _FROM, _TO)
     return rows.select(
-        F.col("fundId").alias("o_orderkey"),
-        F.col("fundUnit").alias("fund_unit"),
-        F.col("unitProfit").alias("unit_profit"),
-        F.col("sumUnitProfit").alias("sum_unit_profit"),
-        F.col("sumAllProfit").alias("sum_all_profit"),
-        date_text("date").alias("day"),
         "site_type",
+        "url",
+        date_text("date").alias("day"),
+        F.col("fundUnit").alias("units"),
+        F.col("unitProfit").alias("unit_profit"),
+        F.col("sumAllProfit").alias("total_profit"),
+        F.col("profitPercent").alias("percent"),
     )
