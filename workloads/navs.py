@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundlake import constants as C
@@ -226,9 +229,41 @@ def nav_positional(t):
     return _prices(N.rayan_navps(positional(t)))
 
 
-@query("navps_all_vendors", f"{_CHART_SQL} UNION ALL {_POSITIONAL_SQL}")
+_ONE_DAY_SQL = """
+    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(round(o_totalprice * 100) AS DOUBLE) + 5 AS creation,
+      CAST(round(o_totalprice * 100) AS DOUBLE) + 1 AS redemption, {statistical} AS statistical
+    FROM orders
+"""
+
+
+@query(
+    "navps_all_vendors",
+    f"{_CHART_SQL} UNION ALL {_POSITIONAL_SQL} UNION ALL "
+    + _ONE_DAY_SQL.format(statistical="CAST(round(o_totalprice * 100) AS DOUBLE) + 2")
+    + " UNION ALL "
+    + _ONE_DAY_SQL.format(statistical="NULL"),
+)
 def navps_all_vendors(t):
-    return _prices(N.navps_history(order_chart(t).unionByName(positional(t))))
+    vendors = [order_chart(t), positional(t), *one_day_charts(t)]
+    return _prices(N.navps_history(reduce(DataFrame.unionByName, vendors)))
+
+
+def one_day_charts(t):
+    """One day of each order as a dated record, and as a leveraged chart of six series."""
+    c, key = cents("o_totalprice"), F.col("o_orderkey")
+    at = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T12:00:00+03:30"))
+    record = F.struct(
+        at.alias("date_time"), (c + 5).alias("purchase_price"), (c + 1).alias("redemption_price"), (c + 2).alias("statistical_value")
+    )
+    dated = F.to_json(F.struct(F.array(record).alias("data")))
+    day = us_text(F.col("o_orderdate").cast("date"))
+    values = {"creation": c + 5, "redemption": c + 1}
+    series = [F.array(point(day, values.get(name, F.lit(0)))) for name in C.LEVERAGED_SERIES]
+    url = F.lit("http://one.example.ir/")
+    return (
+        landed(t.orders, C.MABNA, url, N.CHART, dated, portfolio_id=key),
+        landed(t.orders, C.TADBIR_LEVERAGED, url, N.CHART, chart(series), portfolio_id=key),
+    )
 
 
 @query(
