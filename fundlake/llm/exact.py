@@ -21,8 +21,8 @@ from fundlake.session import discard, stored
 
 BLANKS = b" \t\n\x0b\x0c\r"
 BLOCK_BYTES = 4096
-#: Sorted name ranges; a range is sorted by one task, which spills.
-RANGES = 1 << 14
+#: Distinct blocks of a sorted range, about; the number of ranges follows from that of the blocks.
+RANGE_BLOCKS = 64
 #: Blocks that a task remembers so as to send each distinct one once.
 REMEMBERED_BYTES = 16 << 20
 
@@ -82,11 +82,11 @@ def _cut(size: int):
     return cut
 
 
-def _ranked(distinct: DataFrame, *keys: str) -> DataFrame:
-    """A name for each distinct key: its range and its place in the sorted range."""
+def _ranked(distinct: DataFrame, ranges: int, *keys: str) -> DataFrame:
+    """A name for each distinct key: its range (31 bits) and its place in the sorted range (32 bits)."""
     order = Window.partitionBy("range").orderBy(*keys)
-    return distinct.withColumn("range", F.pmod(F.xxhash64(*keys), F.lit(RANGES))).withColumn(
-        "name", F.shiftleft(F.col("range"), 48) + F.dense_rank().over(order)
+    return distinct.withColumn("range", F.pmod(F.xxhash64(*keys), F.lit(ranges))).withColumn(
+        "name", F.shiftleft(F.col("range"), 32) + F.dense_rank().over(order)
     )
 
 
@@ -96,14 +96,15 @@ def identities(blocks: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     A block reaches the sort once per task that saw it, never once per copy, so a text that a
     third of all rows repeat weighs no more than any other.
     """
-    leads = _ranked(blocks.where("block is not null").select("lead", "block"), "block")
-    level = 0
+    size = blocks.agg(F.count("block").alias("sent"), F.max("n").alias("longest")).first()
+    ranges = size["sent"] // RANGE_BLOCKS + 1
+    leads = _ranked(blocks.where("block is not null").select("lead", "block"), ranges, "block")
     current = stored(
         blocks.select(ROW, "n", "pos", "lead").join(leads.select("lead", "name"), "lead").drop("lead"),
         "block-names",
     )
     used = [current]
-    levels = (blocks.agg(F.max("n")).first()[0] or 1) - 1
+    levels = (size["longest"] or 1) - 1
     done = current.where("n = 1").select(ROW, F.lit(0).alias("level"), "name")
     for level in range(1, levels.bit_length() + 1):
         pairs = (
@@ -114,7 +115,7 @@ def identities(blocks: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
                 F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("right"),
             )
         )
-        names = _ranked(pairs.select("left", "right").distinct(), "left", "right")
+        names = _ranked(pairs.select("left", "right").distinct(), ranges, "left", "right")
         current = stored(
             pairs.join(names.select("left", "right", "name"), ["left", "right"]).select(
                 ROW, ((F.col("n") + 1) / 2).cast("int").alias("n"), F.col("half").alias("pos"), "name"
