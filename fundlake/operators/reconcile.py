@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fundlake import constants as C
 from fundlake.functions import text
 from fundlake.operators.lookup import lookup_join, one_per_key, unmatched, with_value
+from fundlake.sources.lookups import HOT_SHARE, Lookup, lookup_values, store_lookup
 
 
 def type_label(code: Column) -> Column:
@@ -205,11 +206,50 @@ def correct_site_type(catalog: DataFrame, detected: DataFrame) -> DataFrame:
     return with_value(catalog, detected, ["l18"], "site_type", new_wins=True)
 
 
-def sites_of(symbols: DataFrame, catalog: DataFrame, strict: bool = False) -> DataFrame:
-    """Site key of every wanted symbol; an unknown one is an error when ``strict``."""
-    fields = F.struct("site_type", "url", "portfolio_id").alias("site")
-    known = catalog.select("l18", fields)
-    found = lookup_join(symbols, one_per_key(known, ["l18"]), ["l18"])
+def store_updates(values: DataFrame, keys: list[str], buckets: int) -> Lookup:
+    """Store values that ``update_from_stored`` brings into a catalogue, one row per key."""
+    renamed = [F.col(c).alias(f"_new_{c}") for c in values.columns if c not in keys]
+    return store_lookup(values.select(*keys, *renamed), keys, buckets)
+
+
+def update_from_stored(
+    catalog: DataFrame, updates: list[Lookup], keys: list[str], filled: tuple[str, ...] = (), share: float = HOT_SHARE
+) -> DataFrame:
+    """Merge the columns of several stored updates into the catalogue, whose rows move once for all.
+
+    New values win where not null; in the columns ``filled`` they only replace nulls. Columns the
+    catalogue does not have are ignored. No two updates may hold the same column.
+    """
+    joined = lookup_values(catalog, updates, keys, share)
+    merged = []
+    for c in catalog.columns:
+        new = f"_new_{c}"
+        both = (c, new) if c in filled else (new, c)
+        merged.append(F.coalesce(*both).cast(catalog.schema[c].dataType).alias(c) if new in joined.columns else F.col(c))
+    return joined.select(*merged)
+
+
+def store_sites(catalog: DataFrame, buckets: int) -> Lookup:
+    """Store the site key of every symbol, for ``sites_of``."""
+    return store_lookup(_sites(catalog), ["l18"], buckets)
+
+
+def _sites(catalog: DataFrame) -> DataFrame:
+    return catalog.select("l18", F.struct("site_type", "url", "portfolio_id").alias("site"))
+
+
+def sites_of(
+    symbols: DataFrame, catalog: DataFrame | Lookup, strict: bool = False, share: float = HOT_SHARE
+) -> DataFrame:
+    """Site key of every wanted symbol; an unknown one is an error when ``strict``.
+
+    With the lookup of ``store_sites`` in place of the catalogue only the symbols are shuffled;
+    ``share`` is that of a hot symbol there.
+    """
+    if isinstance(catalog, Lookup):
+        found = lookup_values(symbols, [catalog], ["l18"], share)
+    else:
+        found = lookup_join(symbols, one_per_key(_sites(catalog), ["l18"]), ["l18"])
     if strict:
         message = F.concat(F.lit("not in the catalogue: "), F.coalesce("l18", F.lit("null")))
         site = F.coalesce("site", F.raise_error(message).cast(found.schema["site"].dataType))

@@ -15,7 +15,10 @@ from fundlake.session import shared_folder
 from fundlake.sources.landing import for_portfolio, latest_capture
 from fundlake.sources.tables import catalog_positions, scan_catalog_csv, sink_catalog_csv, with_site
 from workloads.encode import landed
-from workloads.registry import query
+from workloads.registry import ORACLES, query
+
+#: Buckets of the stored lookups here, and the share of rows from which on a key of theirs is hot.
+BUCKETS, SHARE = 32, 0.002
 
 
 def catalog_of(rows, **columns):
@@ -272,6 +275,21 @@ def reconcile_left(t):
 )
 def coalesce_update(t):
     """The instrument feed has a new symbol for some, a new name for others, and own columns."""
+    catalog, feed = instruments_of_parts(t)
+    updated = reconcile.update_from_instruments(catalog, reconcile.instrument_feed(feed))
+    return updated.select("l18", "name", "ins_code", "type")
+
+
+@query("coalesce_update_stored", ORACLES["coalesce_update"])
+def coalesce_update_stored(t):
+    """The same from a feed that is stored in buckets of the instrument code."""
+    catalog, feed = instruments_of_parts(t)
+    stored = reconcile.store_updates(reconcile.instrument_feed(feed), ["ins_code"], BUCKETS)
+    updated = reconcile.update_from_stored(catalog, [stored], ["ins_code"], share=SHARE)
+    return updated.select("l18", "name", "ins_code", "type")
+
+
+def instruments_of_parts(t):
     key, size = text_of("p_partkey"), F.col("p_size")
     catalog = catalog_of(
         t.part,
@@ -289,8 +307,7 @@ def coalesce_update(t):
         F.lit("z").alias("cisin"),
         size.alias("other"),
     )
-    updated = reconcile.update_from_instruments(catalog, reconcile.instrument_feed(feed))
-    return updated.select("l18", "name", "ins_code", "type")
+    return catalog, feed
 
 
 @query(
@@ -356,6 +373,27 @@ def name_unique_hit(t):
     """,
 )
 def fill_nulls(t):
+    catalog, numbers, intervals, types = updates_of_orders(t)
+    filled = reconcile.fill_reg_no(catalog, numbers)
+    filled = reconcile.set_dps_interval(filled, intervals)
+    filled = reconcile.correct_site_type(filled, types)
+    return filled.select(
+        "l18", "reg_no", F.col("dps_interval").cast("bigint").alias("dps_interval"), "site_type"
+    )
+
+
+@query("fill_nulls_stored", ORACLES["fill_nulls"])
+def fill_nulls_stored(t):
+    """All three columns from stored tables: the catalogue rows are shuffled once."""
+    catalog, *updates = updates_of_orders(t)
+    stored = [reconcile.store_updates(u, ["l18"], BUCKETS) for u in updates]
+    filled = reconcile.update_from_stored(catalog, stored, ["l18"], filled=("reg_no",), share=SHARE)
+    return filled.select(
+        "l18", "reg_no", F.col("dps_interval").cast("bigint").alias("dps_interval"), "site_type"
+    )
+
+
+def updates_of_orders(t):
     key, cust = text_of("o_orderkey"), F.col("o_custkey")
     catalog = catalog_of(
         t.orders,
@@ -371,12 +409,7 @@ def fill_nulls(t):
         key.alias("l18"), F.when(cust % 4 == 0, (cust % 12).cast("int")).alias("dps_interval")
     )
     types = t.orders.select(key.alias("l18"), F.when(cust % 5 == 0, C.MABNA).alias("site_type"))
-    filled = reconcile.fill_reg_no(catalog, numbers)
-    filled = reconcile.set_dps_interval(filled, intervals)
-    filled = reconcile.correct_site_type(filled, types)
-    return filled.select(
-        "l18", "reg_no", F.col("dps_interval").cast("bigint").alias("dps_interval"), "site_type"
-    )
+    return catalog, numbers, intervals, types
 
 
 @query(
@@ -439,7 +472,20 @@ def new_without_code(t):
     """,
 )
 def symbol_lookup(t):
-    """Orders ask for their customer's site; customers with a small balance are not stored."""
+    """Orders ask for their customer's site; customers with a small balance are not in the catalogue."""
+    catalog, wanted = sites_of_customers(t)
+    return reconcile.sites_of(wanted, catalog).select("o_orderkey", "url", "missing")
+
+
+@query("symbol_lookup_stored", ORACLES["symbol_lookup"])
+def symbol_lookup_stored(t):
+    """The same from a catalogue that is stored in buckets of the symbol."""
+    catalog, wanted = sites_of_customers(t)
+    sites = reconcile.store_sites(catalog, BUCKETS)
+    return reconcile.sites_of(wanted, sites, share=SHARE).select("o_orderkey", "url", "missing")
+
+
+def sites_of_customers(t):
     key = text_of("c_custkey")
     catalog = catalog_of(
         t.customer,
@@ -448,7 +494,7 @@ def symbol_lookup(t):
         site_type=F.lit(C.TADBIR),
     )
     wanted = t.orders.select("o_orderkey", joined_text("c", text_of("o_custkey")).alias("l18"))
-    return reconcile.sites_of(wanted, catalog).select("o_orderkey", "url", "missing")
+    return catalog, wanted
 
 
 # Coverage ------------------------------------------------------------------------------
