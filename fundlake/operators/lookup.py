@@ -4,19 +4,26 @@ A lookup side is first reduced to one row per key. Spark broadcasts it when its
 size allows; otherwise both sides are shuffled, and then a key that holds a large share of
 the left rows (null included) would end in one task. So the left rows are spread over
 ``salts`` groups by the partition they were read from, and each lookup row is copied into
-every group. The salt depends on the partition alone, so a task that runs again after a
+every group. There are as many groups as the square root of the shuffle partitions, so that they grow with
+the cluster; adaptive execution splits what is still too large. The salt depends on the partition alone, so a task that runs again after a
 lost executor computes the same one.
 """
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 8
 _SALT = "_salt"
 
 
+def default_salts(rows: DataFrame) -> int:
+    """Groups that a hot key is spread over unless the caller says how many; two at least."""
+    return max(2, isqrt(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def one_per_key(rows: DataFrame, keys: list[str], prefer: list[Column] | None = None) -> DataFrame:
     """One row per key, chosen by the smallest ``prefer`` values, then by the row itself.
 
@@ -42,9 +49,10 @@ def _salted(left: DataFrame, right: DataFrame, salts: int) -> tuple[DataFrame, D
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "left", salts: int = SALTS
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "left", salts: int | None = None
 ) -> DataFrame:
     """Join with a side that is unique by ``on``; the number of left rows never grows."""
+    salts = default_salts(left) if salts is None else salts
     if salts <= 1:
         return left.join(right, on, how)
     spread, copied = _salted(left, right, salts)
@@ -57,7 +65,7 @@ def _on_one_name(left: DataFrame, keys: DataFrame, left_on: str) -> DataFrame:
 
 
 def unmatched(
-    left: DataFrame, keys: DataFrame, left_on: str, keep_null: bool = True, salts: int = SALTS
+    left: DataFrame, keys: DataFrame, left_on: str, keep_null: bool = True, salts: int | None = None
 ) -> DataFrame:
     """Left rows whose key is not among ``keys`` (a one-column table).
 
@@ -69,7 +77,7 @@ def unmatched(
     return lookup_join(left, _on_one_name(left, keys, left_on), [left_on], "left_anti", salts)
 
 
-def matched(left: DataFrame, keys: DataFrame, left_on: str, salts: int = SALTS) -> DataFrame:
+def matched(left: DataFrame, keys: DataFrame, left_on: str, salts: int | None = None) -> DataFrame:
     """Left rows whose key is among ``keys`` (a one-column table)."""
     return lookup_join(left, _on_one_name(left, keys, left_on), [left_on], "left_semi", salts)
 
@@ -80,7 +88,7 @@ def with_value(
     on: list[str],
     column: str,
     new_wins: bool,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Merge ``column`` from a lookup table into the column of the same name.
 

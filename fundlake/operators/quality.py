@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fundlake import constants as C
 from fundlake.functions import text
 from fundlake.functions.rows import inlined
-from fundlake.operators.lookup import SALTS, lookup_join, matched, one_per_key
+from fundlake.operators.lookup import default_salts, lookup_join, matched, one_per_key
 
 def duplicate_values(rows: DataFrame, columns: list[str]) -> DataFrame:
     """``(column_name, value, n)`` for values that occur more than once; nulls equal each other.
@@ -33,12 +33,13 @@ def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
-def duplicate_rows(rows: DataFrame, keys: list[str], salts: int = SALTS) -> DataFrame:
+def duplicate_rows(rows: DataFrame, keys: list[str], salts: int | None = None) -> DataFrame:
     """The rows whose key combination is repeated, nulls equal each other.
 
     Keys are counted first; the rows are then looked up in the repeated keys, hot ones
     being spread by salt.
     """
+    salts = default_salts(rows) if salts is None else salts
     names = [f"_k{i}" for i in range(len(keys))]
     repeated = duplicate_keys(rows, keys).select(
         *[F.col(k).alias(n) for k, n in zip(keys, names)],
