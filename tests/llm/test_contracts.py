@@ -813,3 +813,37 @@ def test_stages_of_rows_read_in_another_order(spark, documents, stage):
     build = dict(corpus_pipeline.STAGES)[stage]
     wanted = plain(build(spark, documents, FOLDER))
     assert plain(build(spark, restless(documents), FOLDER)) == wanted
+
+
+def test_components_make_rows_in_proportion_to_links(spark, monkeypatch):
+    """Nodes of one cluster share many hubs, and hubs form a long chain: links are not joined again in every round."""
+    from fundlake.llm.components import components
+
+    rng = random.Random(12)
+    names = rng.sample(range(10**9), 1100)
+    pairs = [(n, names[rng.randrange(30)]) for n in names[30:1000] for _ in range(8)]
+    pairs += [(names[i], names[i + 1]) for i in range(1000, 1099)]
+    links = spark.createDataFrame(pairs, "x long, y long")
+    made, real = [], type(links).join
+
+    def counted(self, *args, **named):
+        joined = real(self, *args, **named)
+        made.append(joined.count())
+        return joined
+
+    parent = {n: n for p in pairs for n in p}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    with monkeypatch.context() as patched:
+        patched.setattr(type(links), "join", counted)
+        labels = components(links)
+    assert sorted(map(tuple, labels.collect())) == sorted((n, root(n)) for n in parent)
+    n_links = len({(min(p), max(p)) for p in pairs})
+    assert sum(made) <= 4 * n_links, (made, n_links)
